@@ -66,12 +66,16 @@ def positive_prices(df: DataFrame) -> DataFrame:
 
 
 def clean_panel(df: DataFrame, formats: Sequence[str] = ()) -> DataFrame:
-    """Raw, deduplicated rows to valid rows, in the order the rules require:
-    the change is filled before incomplete rows go, and prices are tested last."""
+    """Raw, deduplicated rows to valid rows: unreadable and non-finite values are missing, a
+    missing change is 0, and rows that miss another value or have a price not above 0 go.
+
+    Prices are tested first, on the stored columns, so that the test reaches the scan; removing
+    infinite prices afterwards gives the same rows as testing last.
+    """
     return (
-        df.transform(nonfinite_to_null)
+        df.transform(positive_prices)
+        .transform(nonfinite_to_null)
         .transform(parse_dates, formats)
         .transform(fill_change)
         .transform(drop_incomplete)
-        .transform(positive_prices)
     )

@@ -12,6 +12,7 @@ from ..session import materialise
 from .copies import expand_copies
 
 _DIGITS = 3  # hex digits per refinement: 4096 cells a class
+_SMALL_CELL = 100_000  # a cell of at most this many rows needs no second refinement
 
 
 def row_token(key: Sequence[str], seed: int) -> Column:
@@ -69,7 +70,7 @@ def stratified_split(
 
     Ranking a class directly would put it in one task. Instead the quota is located by counting
     rows per token prefix (4096 cells, combined on the map side), once more inside the cell where
-    it falls, and then per token; what remains is a comparison per row with the cut of its class.
+    it falls if that is large, and then per token; what remains is a comparison per row with the cut of its class.
     Only key and label are read for that, three times: ``df`` should be a stored table. The cuts,
     one row per class, are written after each step, so that no plan nests another, and broadcast.
 
@@ -92,10 +93,11 @@ def stratified_split(
     near = slim.join(F.broadcast(cut.select("label", F.col("cell").alias("_c1"))), "label")
     near = near.where(first == F.col("_c1"))
 
-    cells = _count_cells(near.withColumn("cell", second))
-    cut = materialise(_cut(cells, cut.select("label", "need")), "cut")
-    near = near.join(F.broadcast(cut.select("label", F.col("cell").alias("_c2"))), "label")
-    near = near.where(second == F.col("_c2"))
+    if not cut.where(F.col("n") > _SMALL_CELL).isEmpty():
+        cells = _count_cells(near.withColumn("cell", second))
+        cut = materialise(_cut(cells, cut.select("label", "need")), "cut")
+        near = near.join(F.broadcast(cut.select("label", F.col("cell").alias("_c2"))), "label")
+        near = near.where(second == F.col("_c2"))
 
     cells = _count_cells(near.withColumn("cell", F.col("token")))
     cut = materialise(_cut(cells, cut.select("label", "need")), "cut")

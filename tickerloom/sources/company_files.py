@@ -57,7 +57,8 @@ class CompanyFiles:
 
 
 def list_files(spark: SparkSession, folder: str, nested: bool = False) -> DataFrame:
-    """Path and length of the CSV files of a folder; an absent folder has none."""
+    """Path and length of the CSV files of a folder; an absent folder has none. Spark's listing
+    leaves out files without a single byte."""
     try:
         return (
             spark.read.format("binaryFile")
