@@ -74,11 +74,18 @@ def test_quoted_fields_and_extra_columns(spark, folder):
     assert (row["published_date"], row["remark"], row["close"]) == ("2024-01-02", 'a, "b"', 3.0)
 
 
-@pytest.mark.parametrize("limit", [0, 100_000])
-def test_many_files_are_joined_without_a_broadcast(spark, folder, monkeypatch, limit):
-    monkeypatch.setattr(company_files, "MAX_BROADCAST_FILES", limit)
-    place = folder({f"S{i}.csv": f"{HEADER}\n{LINE}\n" for i in range(5)})
-    assert company_files.scan_company_files(spark, place).rows().count() == 5
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_the_size_of_the_header_table_decides_the_join(spark, folder, threshold):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        place = folder({f"S{i}.csv": f"{HEADER}\n{LINE}\n" for i in range(5)})
+        rows = company_files.scan_company_files(spark, place).rows()
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert ("BroadcastHashJoin" in plan) == (threshold != "-1")
+        assert rows.count() == 5
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_symbol_from_a_folder_name(spark, tmp_path):

@@ -3,6 +3,7 @@ from .cells import (
     clean_name_column,
     date_from_text,
     finite_or_null,
+    flatten_once,
     is_missing,
     is_missing_text,
     movement,
@@ -15,6 +16,7 @@ __all__ = [
     "clean_name_column",
     "date_from_text",
     "finite_or_null",
+    "flatten_once",
     "is_missing",
     "is_missing_text",
     "movement",

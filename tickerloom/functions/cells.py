@@ -84,3 +84,8 @@ def movement(opened: Column, closed: Column) -> Column:
         .when(comparable & (closed < opened), "down")
         .otherwise("same")
     )
+
+
+def flatten_once(lists: Column) -> Column:
+    """One list of the items of a list of lists, in order."""
+    return F.flatten(lists)

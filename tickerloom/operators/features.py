@@ -63,14 +63,10 @@ def next_close(df: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     hot symbols, as in any panel with one row per day, only the plain window is planned.
     """
     ties = [name for name in df.columns if name not in (SYMBOL, DATE)]
-    keyed = df.withColumns(
-        {
-            "_day": F.coalesce(F.col(DATE), F.to_date(F.lit(_FAR_DAY))),
-            "_piece": F.pmod(F.xxhash64(*ties), F.lit(DAY_PIECES)).cast("int"),
-        }
-    )
+    piece = F.pmod(F.xxhash64(*ties), F.lit(DAY_PIECES)).cast("int")
+    keyed = df.withColumn("_piece", piece)
     columns = [*df.columns, "next_close"]
-    by_date = Window.partitionBy(SYMBOL).orderBy("_day", "_piece", *ties)
+    by_date = Window.partitionBy(SYMBOL).orderBy(F.asc_nulls_last(DATE), "_piece", *ties)
     following = F.lead("close").over(by_date)
 
     hot = materialise(hot_symbols(df) if hot is None else hot, "hot")
@@ -85,14 +81,19 @@ def next_close(df: DataFrame, hot: DataFrame | None = None) -> DataFrame:
 def _next_close_hot(df: DataFrame, ties: list[str]) -> DataFrame:
     """``next_close`` for symbols too large for one task.
 
-    Equal rows collapse to one row and a count. The rest is cut into (symbol, day, piece); the
-    successor is sought inside the piece, then at the head of the day's next piece, then at the
-    head of the symbol's next day. No window sees more than one piece, the pieces of one day, or
-    the days of one symbol.
+    Equal rows collapse to one row and a count. The distinct rows are cut into (symbol, day,
+    piece); the successor is sought inside the piece, then at the head of the day's next piece,
+    then at the head of the symbol's next day. No window sees more than one piece, the pieces of
+    one day, or the days of one symbol. Rows without a day form a day after all others.
     """
     day = [SYMBOL, "_day"]
     piece = [*day, "_piece"]
-    rows = df.groupBy(*piece, DATE, *ties).agg(F.count(F.lit(1)).alias("_copies"))
+    last_day = F.to_date(F.lit(_FAR_DAY))
+    rows = (
+        df.withColumn("_day", F.coalesce(F.col(DATE), last_day))
+        .groupBy(*piece, DATE, *ties)
+        .agg(F.count(F.lit(1)).alias("_copies"))
+    )
 
     # A struct tells "no successor" (NULL) from "the successor has no close" (struct of NULL).
     close = F.struct("close")
@@ -110,23 +111,21 @@ def _next_close_hot(df: DataFrame, ties: list[str]) -> DataFrame:
         .select(*piece, F.coalesce("_next_piece", "_next_day").alias("_after"))
     )
     inside = F.lead(close).over(Window.partitionBy(*piece).orderBy(*ties))
-    linked = (
+    last_copies = (
         rows.withColumn("_inside", inside)
         .join(successors, piece)
-        .withColumn("_next", F.coalesce("_inside", "_after"))
+        .withColumn("next_close", F.coalesce("_inside", "_after")["close"])
+        .select(SYMBOL, DATE, *ties, "next_close")
     )
     # Of n equal rows, n - 1 are followed by a copy of themselves.
-    spread = linked.withColumn(
-        "_part",
-        F.explode(
-            F.array(
-                F.struct(F.col("_next").alias("next"), F.lit(1).cast("long").alias("n")),
-                F.struct(close.alias("next"), (F.col("_copies") - 1).alias("n")),
-            )
-        ),
-    ).select(*piece, DATE, *ties, F.col("_part.next.close").alias("next_close"),
-             F.col("_part.n").alias("_n"))
-    return expand_copies(spread, "_n")
+    other_copies = rows.where("_copies > 1").select(
+        SYMBOL,
+        DATE,
+        *ties,
+        F.col("close").alias("next_close"),
+        (F.col("_copies") - 1).alias("_copies"),
+    )
+    return last_copies.unionByName(expand_copies(other_copies, "_copies"))
 
 
 def next_up(close: Column, following: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import is_missing
 from ..operators import clean, features, metrics, model, ordering, split
 from ..schema import DATE, SYMBOL, TARGET
-from ..session import materialise
+from ..session import delete_folder, materialise, store
 from ..sources.company_files import FILE_STEM, scan_company_files
 from ..sources.tables import (
     load_dataset,
@@ -133,11 +133,15 @@ def train(spark: SparkSession, settings: Settings) -> None:
         )
     )
     # The forest reads its input several times; written by side, each side is a plain scan.
-    divided = materialise(divided, "split", partition_by="is_test")
-    settings.hand_over.save(divided.where("is_test").drop("is_test"), TEST)
-    rows = divided.where(~F.col("is_test")).drop("is_test", SYMBOL, DATE)
-    fitted = model.train_forest(rows, settings.trees, settings.depth, settings.seed)
-    model.save_model(fitted, settings.model_path)
+    path = store(divided, "split", partition_by="is_test")
+    try:
+        stored = spark.read.schema(divided.schema).parquet(path)
+        settings.hand_over.save(stored.where("is_test").drop("is_test"), TEST)
+        rows = stored.where(~F.col("is_test")).drop("is_test", SYMBOL, DATE)
+        fitted = model.train_forest(rows, settings.trees, settings.depth, settings.seed)
+        model.save_model(fitted, settings.model_path)
+    finally:
+        delete_folder(spark, path)
 
 
 def evaluate(spark: SparkSession, settings: Settings) -> str:

@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import flatten_once
 from ..operators import clean, features, joins, metrics, model, ordering, profile, split
 from ..schema import DATE, SYMBOL, TARGET
-from ..session import fresh_path, materialise
+from ..session import fresh_path, materialise, store
 from ..sources import pages, tables
 from ..sources.company_files import scan_company_files
 from ..streaming import daily_append, page_load
@@ -66,12 +67,19 @@ def price_features(spark, folder):
     return event_panel.cleaned(spark, folder).transform(features.price_features)
 
 
+def _label(df, spark, folder):
+    # The panel has no more rows per symbol than there are bars, and bars are cheaper to count:
+    # two columns of the events, combined on the map side.
+    hot = features.hot_symbols(event_panel.bars(spark, folder))
+    return features.label_next_up(df, hot)
+
+
 def label_next_up(spark, folder):
-    return event_panel.cleaned(spark, folder).transform(features.label_next_up)
+    return event_panel.cleaned(spark, folder).transform(_label, spark, folder)
 
 
 def processed(spark, folder):
-    return price_features(spark, folder).transform(features.label_next_up)
+    return price_features(spark, folder).transform(_label, spark, folder)
 
 
 def movement_label(spark, folder):
@@ -91,7 +99,7 @@ def flatten_lists(spark, folder):
     )
     return (
         _table(spark, folder, "embeddings")
-        .select("vec_id", F.posexplode(F.flatten(nested)).alias("position", "item"))
+        .select("vec_id", F.posexplode(flatten_once(nested)).alias("position", "item"))
         .select("vec_id", "position", F.col("item").cast("double").alias("item"))
     )
 
@@ -213,9 +221,8 @@ def forest_report(spark, folder):
     """Split, fit, save, load, predict, report. Shallow trees keep the check short."""
     stored = materialise(processed(spark, folder), "processed")
     matrix = features.feature_matrix(stored, keep=(SYMBOL, DATE))
-    divided = materialise(
-        split.stratified_split(matrix, key=[SYMBOL, DATE]), "split", partition_by="is_test"
-    )
+    divided = split.stratified_split(matrix, key=[SYMBOL, DATE])
+    divided = spark.read.schema(divided.schema).parquet(store(divided, "split", "is_test"))
     path = fresh_path(spark, "model")
     train = divided.where(~F.col("is_test")).drop("is_test")
     model.save_model(model.train_forest(train, depth=5), path)
@@ -254,11 +261,14 @@ def _write_company_files(spark, folder) -> str:
     other column names and another column order."""
     path = fresh_path(spark, "companies")
     rows = event_panel.raw(spark, folder)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     second_form = F.pmod(F.xxhash64(SYMBOL), F.lit(2)) == 1
     titled = {name: name.replace("_", " ").title() for name in rows.columns if name != SYMBOL}
     turned = [SYMBOL, *[F.col(name).alias(f" {titled[name]}.") for name in reversed(titled)]]
     for part in (rows.where(~second_form), rows.where(second_form).select(*turned)):
-        part.hint("rebalance", SYMBOL).write.mode("append").partitionBy(SYMBOL).csv(
+        # One file per symbol; a symbol has at most two rows a day. The number of tasks is given,
+        # as the cost lies in the files and not in their bytes.
+        part.repartition(tasks, SYMBOL).write.mode("append").partitionBy(SYMBOL).csv(
             path, header=True
         )
     return path

@@ -47,13 +47,19 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/tickerloom/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """Write once to the shared folder and read back: every reader sees the same rows,
-    and a lost executor re-reads files instead of recomputing the lineage."""
+def store(df: DataFrame, name: str, partition_by: str | None = None) -> str:
+    """Write a table to a fresh path in the shared folder; returns the path."""
     path = fresh_path(df.sparkSession, name)
     writer = df.write if partition_by is None else df.write.partitionBy(partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return path
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write once to the shared folder and read back: every reader sees the same rows,
+    and a lost executor re-reads files instead of recomputing the lineage. Like Spark's own
+    checkpoints the files stay until the folder is cleaned."""
+    return df.sparkSession.read.schema(df.schema).parquet(store(df, name))
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:

@@ -11,11 +11,10 @@ from pyspark.sql import functions as F
 
 from ..functions import clean_name_column, is_missing_text, number_from_text, split_csv_line
 from ..schema import DATE, NUMERIC_FIELDS, PAGE_FIELDS, RAW_SCHEMA, SYMBOL
+from ..session import materialise
 
 # The symbol is the file name without its ending.
 FILE_STEM = r"([^/]+)\.csv$"
-# With more files than this the header table is not broadcast.
-MAX_BROADCAST_FILES = 100_000
 
 _PATH = "_path"
 
@@ -24,13 +23,18 @@ _PATH = "_path"
 class CompanyFiles:
     """Result of a folder scan.
 
-    ``files``: path and length of every file found. ``parsed``: every data line with its values,
-    its file and, when it cannot be used, a reason.
+    ``parsed``: every data line with its values, its file and, when it cannot be used, a reason.
     """
 
-    files: DataFrame
+    spark: SparkSession
+    folder: str
+    nested: bool
     parsed: DataFrame
 
+    def files(self) -> DataFrame:
+        """Path and length of every file found."""
+        return list_files(self.spark, self.folder, self.nested)
+
     def rows(self) -> DataFrame:
         """The usable rows."""
         return self.parsed.where(F.col("_reason").isNull()).drop(_PATH, "_line", "_reason")
@@ -49,7 +53,7 @@ class CompanyFiles:
         counts = self.parsed.groupBy(F.col(_PATH).alias("path")).agg(
             F.count_if(usable).alias("row_count"), F.count_if(~usable).alias("quarantined")
         )
-        return self.files.join(counts, "path", "left").select(
+        return self.files().join(counts, "path", "left").select(
             "path",
             F.coalesce("row_count", F.lit(0)).alias("row_count"),
             F.coalesce("quarantined", F.lit(0)).alias("quarantined"),
@@ -73,6 +77,24 @@ def list_files(spark: SparkSession, folder: str, nested: bool = False) -> DataFr
         return spark.createDataFrame([], "path string, length bigint")
 
 
+def _lines(spark: SparkSession, folder: str, nested: bool) -> DataFrame | None:
+    """Lines of all files with their file; None when the folder is absent."""
+    reader = spark.read.option("pathGlobFilter", "*.csv").option(
+        "recursiveFileLookup", str(nested).lower()
+    )
+    try:
+        text = reader.text(folder)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return (
+        text.select(F.col("value").alias("_line"), F.col("_metadata.file_path").alias(_PATH))
+        .where(F.trim("_line") != "")
+        .withColumn("_is_header", _looks_like_header(F.col("_line")))
+    )
+
+
 def symbol_from_path(path: Column, pattern: str = FILE_STEM) -> Column:
     """Symbol in a (percent-encoded) file path."""
     encoded = F.regexp_extract(path, pattern, 1)
@@ -110,32 +132,22 @@ def scan_company_files(
 ) -> CompanyFiles:
     """Read all files of a folder at once, matching columns by header name, not by position.
 
-    The files are read as lines, so a large file splits over many tasks; a first pass finds each
-    file's header, which is joined to the lines. That table has one row per file: it is broadcast
-    when the listing shows at most ``MAX_BROADCAST_FILES`` files, else Spark chooses the join.
+    The files are read as lines, so a large file splits over many tasks. A first pass finds each
+    file's header and stores the places of the known columns, one row per file. That table is
+    joined without a hint: Spark knows its stored size and broadcasts it only when it is small.
 
     A line is set aside when its file has no header or two different ones, when it has more
     fields than the header, or when a numeric field holds other text. Unknown columns are dropped
     unless named in ``extra_columns`` (kept as text). Line breaks inside quotes are not supported.
     """
-    files = list_files(spark, folder, nested)
-    count = files.count()
-    if count == 0:
-        empty = spark.createDataFrame([], RAW_SCHEMA)
-        for name in extra_columns:
-            empty = empty.withColumn(name, F.lit(None).cast("string"))
-        text = F.lit(None).cast("string")
-        return CompanyFiles(files, empty.withColumns({_PATH: text, "_line": text, "_reason": text}))
-
-    lines = (
-        spark.read.option("pathGlobFilter", "*.csv")
-        .option("recursiveFileLookup", str(nested).lower())
-        .text(folder)
-        .select(F.col("value").alias("_line"), F.col("_metadata.file_path").alias(_PATH))
-        .where(F.trim("_line") != "")
-        .withColumn("_is_header", _looks_like_header(F.col("_line")))
-    )
     wanted = [*PAGE_FIELDS, *extra_columns]
+    lines = _lines(spark, folder, nested)
+    if lines is None:
+        empty = spark.createDataFrame([], RAW_SCHEMA).select(*PAGE_FIELDS, SYMBOL)
+        for name in [*extra_columns, _PATH, "_line", "_reason"]:
+            empty = empty.withColumn(name, F.lit(None).cast("string"))
+        return CompanyFiles(spark, folder, nested, empty)
+
     headers = _headers(lines).select(
         _PATH,
         "_ambiguous",
@@ -143,8 +155,7 @@ def scan_company_files(
         *[(F.array_position("_names", name) - 1).cast("int").alias(f"_at_{name}")
           for name in wanted],
     )
-    if count <= MAX_BROADCAST_FILES:
-        headers = F.broadcast(headers)
+    headers = materialise(headers, "headers")
 
     cells = (
         lines.where(~F.col("_is_header"))
@@ -173,4 +184,4 @@ def scan_company_files(
         .withColumn("_reason", reason)
         .select(*PAGE_FIELDS, SYMBOL, *extra_columns, _PATH, "_line", "_reason")
     )
-    return CompanyFiles(files, parsed)
+    return CompanyFiles(spark, folder, nested, parsed)
