@@ -48,9 +48,9 @@ def is_missing_text(text: Column) -> Column:
 def number_from_text(text: Column, kind: T.DataType | None = None) -> Column:
     """Number in a text, NULL when missing or unreadable; every spelling of infinity is accepted.
     Whole numbers may be written with a fraction (``1.0``)."""
-    value = F.when(~is_missing_text(text), F.trim(text).try_cast(T.DoubleType()))
+    value = F.trim(text).try_cast(T.DoubleType())
     if kind is None or isinstance(kind, T.DoubleType):
-        return value
+        return F.nullif(value, F.lit(float("nan")))
     return value.try_cast(kind)
 
 
@@ -63,10 +63,8 @@ def date_from_text(text: Column, formats: Sequence[str] = ()) -> Column:
 
 
 def finite_or_null(value: Column) -> Column:
-    """NULL for NaN and both infinities."""
-    return F.when(
-        F.isnan(value) | (value == _INFINITY) | (value == -_INFINITY), F.lit(None)
-    ).otherwise(value)
+    """NULL for NaN and both infinities. Spark sorts NaN above infinity, so one test is enough."""
+    return F.when(F.abs(value) < _INFINITY, value)
 
 
 def is_missing(value: Column, kind: T.DataType) -> Column:

@@ -49,35 +49,26 @@ def panel(spark: SparkSession, folder: str) -> DataFrame:
 def raw(spark: SparkSession, folder: str) -> DataFrame:
     """The dirty panel, dates as text."""
     uid, day = F.col("uid"), F.dayofmonth("d")
-
-    def on(modulus: int, rest: int, when: int):
-        return (uid % modulus == rest) & (day == when)
-
+    kind = F.when(day == uid % 20 + 10, uid % 20).otherwise(0)  # kind of dirt in this row
+    unreadable = (day == 9) & (uid % 50 == 11)
+    times = F.when(uid % 50 == 0, 2).otherwise(1)
     dirty = panel(spark, folder).select(
         "symbol",
-        F.when(on(50, 11, 9), "not-a-date").otherwise(F.col("d").cast("string")).alias(
+        F.when(unreadable, "not-a-date").otherwise(F.col("d").cast("string")).alias(
             "published_date"
         ),
-        F.when(on(20, 3, 13), F.lit(None))
-        .when(on(20, 4, 14), F.lit(0.0))
-        .otherwise(F.col("open"))
-        .alias("open"),
+        F.when(kind == 3, None).when(kind == 4, 0.0).otherwise(F.col("open")).alias("open"),
         "high",
         "low",
-        F.when(on(20, 5, 15), F.lit(float("nan")))
-        .when(on(20, 6, 16), F.lit(-1.0))
-        .otherwise(F.col("close"))
-        .alias("close"),
-        F.when(on(20, 7, 17), F.lit(float("inf"))).otherwise(F.col("per_change")).alias(
-            "per_change"
+        F.when(kind == 5, float("nan")).when(kind == 6, -1.0).otherwise(F.col("close")).alias(
+            "close"
         ),
+        F.when(kind == 7, float("inf")).otherwise(F.col("per_change")).alias("per_change"),
         "traded_quantity",
         "traded_amount",
-        F.when(uid % 50 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))).alias(
-            "_times"
-        ),
+        F.explode(F.array_repeat(F.lit(1), times)).alias("_time"),
     )
-    return dirty.withColumn("_time", F.explode("_times")).drop("_times", "_time")
+    return dirty.drop("_time")
 
 
 def unique(spark: SparkSession, folder: str) -> DataFrame:

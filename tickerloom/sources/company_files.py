@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -170,14 +172,18 @@ def scan_company_files(
         else F.when(~is_missing_text(F.col(f"_text_{name}")), F.col(f"_text_{name}"))
         for name in wanted
     }
+    # Rows with all numbers, nearly all rows, skip the look at the texts.
+    gap = reduce(or_, [F.col(name).isNull() for name in NUMERIC_FIELDS])
+    unread = F.exists(
+        F.array(*[F.col(f"_text_{name}") for name in NUMERIC_FIELDS]),
+        lambda text: F.trim(text).try_cast("double").isNull() & ~is_missing_text(text),
+    )
     reason = (
         F.when(F.col("_width").isNull(), "no header")
         .when(F.col("_ambiguous"), "two headers")
         .when(F.size("_fields") > F.col("_width"), "too many fields")
+        .when(gap & unread, "not a number")
     )
-    for name in NUMERIC_FIELDS:
-        unread = F.col(name).isNull() & ~is_missing_text(F.col(f"_text_{name}"))
-        reason = reason.when(unread, f"not a number: {name}")
     parsed = (
         cells.withColumns(values)
         .withColumn(SYMBOL, symbol_from_path(F.col(_PATH), symbol_pattern))
