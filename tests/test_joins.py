@@ -20,9 +20,17 @@ def test_company_dimension(spark):
 
 def test_unknown_symbols_stay(spark):
     df = spark.createDataFrame([("NMB",), ("??",)], ["symbol"])
-    found = {r["symbol"]: r["company_id"] for r in
-             joins.attach_dimension(df, companies(spark)).collect()}
-    assert found == {"NMB": 1, "??": None}
+    attached = joins.attach_company(df)
+    found = {r["symbol"]: (r["company_id"], r["sector"]) for r in attached.collect()}
+    assert found == {"NMB": (1, "commercial banks"), "??": (None, None)}
+    assert "BroadcastHashJoin" in attached._jdf.queryExecution().executedPlan().toString()
+
+
+def test_any_dimension(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, x int")
+    names = spark.createDataFrame([("a", "A")], "k string, name string")
+    found = sorted(map(tuple, joins.attach_dimension(df, names, "k").collect()))
+    assert found == [("a", 1, "A"), ("b", 2, None)]
 
 
 def test_work_list(spark):

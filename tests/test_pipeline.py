@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from tickerloom import __main__ as command_line
 from tickerloom.operators import model
 from tickerloom.plans import pipeline
 from tickerloom.sources import tables
@@ -87,3 +88,12 @@ def test_an_empty_folder_writes_nothing(spark, tmp_path):
     chosen = settings(str(tmp_path / "none"), tmp_path)
     assert pipeline.run(spark, chosen) is None
     assert not (tmp_path / "tables").exists()
+
+
+def test_stages_from_the_command_line(spark, companies, tmp_path):
+    base = str(tmp_path / "run")
+    words = ["--folder", companies, "--base", base, "--trees", "5", "--depth", "3"]
+    for stage in ("ingest", "preprocess", "train"):
+        command_line.main([stage, *words])
+    assert "macro avg" in command_line.main(["evaluate", *words])
+    assert load_dataset(spark, f"{base}/tables", pipeline.TEST).count() == 65

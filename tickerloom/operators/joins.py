@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import DATE, SYMBOL
+from ..sources.companies import companies
 
 
 def union_by_name(parts: Sequence[DataFrame]) -> DataFrame:
@@ -23,9 +24,15 @@ def attach_dimension(df: DataFrame, dimension: DataFrame, key: str = SYMBOL) ->
     return df.join(dimension, key, "left")
 
 
-def pending_companies(companies: DataFrame, loaded: DataFrame) -> DataFrame:
+def attach_company(df: DataFrame) -> DataFrame:
+    """Company id and sector by symbol; unknown symbols get none. The dimension is fixed at 128
+    rows, which bounds the broadcast."""
+    return df.join(F.broadcast(companies(df.sparkSession)), SYMBOL, "left")
+
+
+def pending_companies(wanted: DataFrame, loaded: DataFrame) -> DataFrame:
     """Companies of which nothing is loaded yet."""
-    return companies.join(loaded.select(SYMBOL).distinct(), SYMBOL, "left_anti")
+    return wanted.join(loaded.select(SYMBOL).distinct(), SYMBOL, "left_anti")
 
 
 def one_per_day(df: DataFrame) -> DataFrame:

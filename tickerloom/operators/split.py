@@ -15,9 +15,9 @@ _DIGITS = 3  # hex digits per refinement: 4096 cells a class
 _SMALL_CELL = 100_000  # a cell of at most this many rows needs no second refinement
 
 
-def row_token(key: Sequence[str], seed: int) -> Column:
-    """Repeatable random order: md5 of the key and the seed."""
-    return F.md5(F.concat_ws("|", *[F.col(name).cast("string") for name in key], F.lit(str(seed))))
+def row_token(parts: Sequence[Column], seed: int) -> Column:
+    """Repeatable random order: md5 of the parts of the key and the seed."""
+    return F.md5(F.concat_ws("|", *[part.cast("string") for part in parts], F.lit(str(seed))))
 
 
 def class_quotas(sizes: DataFrame, test_percent: int) -> DataFrame:
@@ -74,12 +74,13 @@ def stratified_split(
     Only key and label are read for that, three times: ``df`` should be a stored table. The cuts,
     one row per class, are written after each step, so that no plan nests another, and broadcast.
 
-    ``key`` must tell different rows apart (default: all columns). Copies of one row share a token
-    and are divided by count. ``classes`` lists the labels; a row with another label is an error.
+    ``key`` should tell different rows apart (default: a hash of all columns). Rows that share a
+    token are divided in the order of their columns, copies of one row by count. ``classes`` lists
+    the labels; a row with another label is an error.
     """
-    key = list(key or df.columns)
+    parts = [F.col(name) for name in key] if key else [F.xxhash64(*df.columns)]
     listed = F.col(label).isin(list(classes))
-    token = F.when(listed, row_token(key, seed)).otherwise(
+    token = F.when(listed, row_token(parts, seed)).otherwise(
         F.raise_error(F.lit(f"{label} must be one of {list(classes)}"))
     )
     rows = df.withColumn("_token", token)
@@ -112,8 +113,9 @@ def stratified_split(
 
 
 def _divide_ties(rows: DataFrame, cut: DataFrame, columns: list[str], label: str) -> DataFrame:
-    """Copies at the cut of which only some belong to the test set. ``cut`` is empty unless the cut
-    falls on copies, and AQE then drops this branch. Copies collapse to one row and a count."""
+    """Rows that share the cut token while only some of them belong to the test set: copies, as a
+    rule. ``cut`` is empty unless the cut falls on such rows, and AQE then drops this branch.
+    Copies collapse to one row and a count."""
     tied = rows.join(F.broadcast(cut), label).where(F.col("_token") == F.col("_cut"))
     distinct = tied.groupBy(*columns, "need").agg(F.count(F.lit(1)).alias("_n"))
     upto = F.sum("_n").over(Window.partitionBy(label).orderBy(*columns))
