@@ -1,4 +1,5 @@
 from .cells import (
+    MISSING_TEXTS,
     clean_name,
     clean_name_column,
     date_from_text,
@@ -12,6 +13,7 @@ from .cells import (
 )
 
 __all__ = [
+    "MISSING_TEXTS",
     "clean_name",
     "clean_name_column",
     "date_from_text",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -11,7 +12,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import clean_name_column, is_missing_text, number_from_text, split_csv_line
+from ..functions import (
+    MISSING_TEXTS,
+    clean_name_column,
+    is_missing_text,
+    number_from_text,
+    split_csv_line,
+)
 from ..schema import DATE, NUMERIC_FIELDS, PAGE_FIELDS, RAW_SCHEMA, SYMBOL
 from ..session import materialise
 
@@ -90,11 +97,8 @@ def _lines(spark: SparkSession, folder: str, nested: bool) -> DataFrame | None:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    return (
-        text.select(F.col("value").alias("_line"), F.col("_metadata.file_path").alias(_PATH))
-        .where(F.trim("_line") != "")
-        .withColumn("_is_header", _looks_like_header(F.col("_line")))
-    )
+    lines = text.select(F.col("value").alias("_line"), F.col("_metadata.file_path").alias(_PATH))
+    return lines.where(F.trim("_line") != "")
 
 
 def symbol_from_path(path: Column, pattern: str = FILE_STEM) -> Column:
@@ -103,26 +107,43 @@ def symbol_from_path(path: Column, pattern: str = FILE_STEM) -> Column:
     return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
-def _headers(lines: DataFrame) -> DataFrame:
-    """Per file, the place of each known column. The header is the line that names the date."""
-    first = F.min("_line")
-    return (
-        lines.where("_is_header")
+def _headers(lines: DataFrame, wanted: Sequence[str], symbol_pattern: str) -> DataFrame:
+    """Per file its symbol, its header and the place of each wanted column. The header is the line
+    that names the date; a file with different such lines is ambiguous."""
+    line = F.col("_line")
+    names = F.transform(split_csv_line(line), lambda name: clean_name_column(name))
+    # The cheap test goes first: data lines never reach the split.
+    is_header = F.lower(line).contains("published") & F.array_contains(names, DATE)
+    found = (
+        lines.where(is_header)
         .groupBy(_PATH)
-        .agg(first.alias("_header"), (first != F.max("_line")).alias("_ambiguous"))
+        .agg(F.min(line).alias("_header"), F.max(line).alias("_other_header"))
         .withColumn(
             "_names",
             F.transform(split_csv_line(F.col("_header")), lambda name: clean_name_column(name)),
         )
     )
+    places = [
+        (F.array_position("_names", name) - 1).cast("int").alias(f"_at_{name}") for name in wanted
+    ]
+    return found.select(
+        _PATH,
+        symbol_from_path(F.col(_PATH), symbol_pattern).alias(SYMBOL),
+        "_header",
+        "_other_header",
+        F.size("_names").alias("_width"),
+        *places,
+    )
 
 
-def _looks_like_header(line: Column) -> Column:
-    names = F.transform(split_csv_line(line), lambda name: clean_name_column(name))
-    # The cheap test goes first: data lines never reach the split.
-    return F.when(F.lower(line).contains("published"), F.array_contains(names, DATE)).otherwise(
-        F.lit(False)
-    )
+# A number as the double cast reads it, without the type letters Java allows after it.
+_NUMBER = r"[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:[+-]?inf(?:inity)?)"
+_FIELD = rf" *(?:{_NUMBER}|{'|'.join(map(re.escape, MISSING_TEXTS))}) *"
+
+
+def _unreadable(texts: list[Column]) -> Column:
+    """Whether one of the texts is neither a number nor "missing"."""
+    return ~F.concat_ws("\n", *texts).rlike(rf"^{_FIELD}(?:\n{_FIELD})*$")
 
 
 def scan_company_files(
@@ -150,44 +171,36 @@ def scan_company_files(
             empty = empty.withColumn(name, F.lit(None).cast("string"))
         return CompanyFiles(spark, folder, nested, empty)
 
-    headers = _headers(lines).select(
-        _PATH,
-        "_ambiguous",
-        F.size("_names").alias("_width"),
-        *[(F.array_position("_names", name) - 1).cast("int").alias(f"_at_{name}")
-          for name in wanted],
-    )
-    headers = materialise(headers, "headers")
-
+    headers = materialise(_headers(lines, wanted, symbol_pattern), "headers")
+    is_header = (F.col("_line") == F.col("_header")) | (F.col("_line") == F.col("_other_header"))
     cells = (
-        lines.where(~F.col("_is_header"))
-        .withColumn("_fields", split_csv_line(F.col("_line")))
+        lines.withColumn("_fields", split_csv_line(F.col("_line")))
         .join(headers, _PATH, "left")
-        .withColumns({f"_text_{name}": F.get("_fields", F.col(f"_at_{name}")) for name in wanted})
+        .where(~F.coalesce(is_header, F.lit(False)))
     )
     types = {field.name: field.dataType for field in RAW_SCHEMA.fields}
-    values = {
-        name: number_from_text(F.col(f"_text_{name}"), types[name])
+    texts = {name: F.get("_fields", F.col(f"_at_{name}")) for name in wanted}
+    values = [
+        number_from_text(texts[name], types[name]).alias(name)
         if name in NUMERIC_FIELDS
-        else F.when(~is_missing_text(F.col(f"_text_{name}")), F.col(f"_text_{name}"))
+        else F.when(~is_missing_text(texts[name]), texts[name]).alias(name)
         for name in wanted
-    }
+    ]
+    # A filter on a projected value is pushed below the projection and computes it again. It is
+    # not pushed below a generator, so this one, of one row per row, makes sure that every number
+    # is parsed once.
+    read = cells.select(F.inline(F.array(F.struct(*cells.columns, *values))))
+
     # Rows with all numbers, nearly all rows, skip the look at the texts.
     gap = reduce(or_, [F.col(name).isNull() for name in NUMERIC_FIELDS])
-    unread = F.exists(
-        F.array(*[F.col(f"_text_{name}") for name in NUMERIC_FIELDS]),
-        lambda text: F.trim(text).try_cast("double").isNull() & ~is_missing_text(text),
-    )
+    unreadable = gap & _unreadable([texts[name] for name in NUMERIC_FIELDS])
     reason = (
         F.when(F.col("_width").isNull(), "no header")
-        .when(F.col("_ambiguous"), "two headers")
+        .when(F.col("_header") != F.col("_other_header"), "two headers")
         .when(F.size("_fields") > F.col("_width"), "too many fields")
-        .when(gap & unread, "not a number")
+        .when(unreadable, "not a number")
     )
-    parsed = (
-        cells.withColumns(values)
-        .withColumn(SYMBOL, symbol_from_path(F.col(_PATH), symbol_pattern))
-        .withColumn("_reason", reason)
-        .select(*PAGE_FIELDS, SYMBOL, *extra_columns, _PATH, "_line", "_reason")
+    parsed = read.withColumn("_reason", reason).select(
+        *PAGE_FIELDS, SYMBOL, *extra_columns, _PATH, "_line", "_reason"
     )
     return CompanyFiles(spark, folder, nested, parsed)
