@@ -69,7 +69,8 @@ def next_close(df: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     by_date = Window.partitionBy(SYMBOL).orderBy(F.asc_nulls_last(DATE), "_piece", *ties)
     following = F.lead("close").over(by_date)
 
-    hot = materialise(hot_symbols(df) if hot is None else hot, "hot")
+    hot = hot_symbols(df) if hot is None else hot.select(SYMBOL).distinct().limit(MAX_HOT_SYMBOLS)
+    hot = materialise(hot, "hot")
     if hot.isEmpty():
         return keyed.withColumn("next_close", following).select(*columns)
     marked = keyed.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), SYMBOL, "left")
