@@ -97,8 +97,7 @@ def _lines(spark: SparkSession, folder: str, nested: bool) -> DataFrame | None:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    lines = text.select(F.col("value").alias("_line"), F.col("_metadata.file_path").alias(_PATH))
-    return lines.where(F.trim("_line") != "")
+    return text.select(F.col("value").alias("_line"), F.col("_metadata.file_path").alias(_PATH))
 
 
 def symbol_from_path(path: Column, pattern: str = FILE_STEM) -> Column:
@@ -174,7 +173,8 @@ def scan_company_files(
     headers = materialise(_headers(lines, wanted, symbol_pattern), "headers")
     is_header = (F.col("_line") == F.col("_header")) | (F.col("_line") == F.col("_other_header"))
     cells = (
-        lines.withColumn("_fields", split_csv_line(F.col("_line")))
+        lines.where(F.trim("_line") != "")
+        .withColumn("_fields", split_csv_line(F.col("_line")))
         .join(headers, _PATH, "left")
         .where(~F.coalesce(is_header, F.lit(False)))
     )
