@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, packing, token_counts, vector_search
+from . import decontamination, license_scan, packing, token_counts, toxicity, vector_search
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -105,6 +105,56 @@ from {previous}
 ORACLES["op5_license_scan"] = _license_oracle()
 
 
+@query
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return decontamination.contamination(docs, table(spark, folder, "benchmark")).drop("text")
+
+
+ORACLES["op7_decontamination"] = r"""
+with words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
+), item_words as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark
+), windows as (
+  select distinct item_id, least(10, len(w)) as size,
+    array_to_string(w[s:s + least(10, len(w)) - 1], ' ') as phrase
+  from (select item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) as s from item_words
+        where len(w) > 0)
+), sizes as (
+  select distinct size from windows
+), places as (
+  select doc_id, size, s, array_to_string(w[s:s + size - 1], ' ') as phrase
+  from (select doc_id, w, size, unnest(range(1, len(w) - size + 2)) as s
+        from words, sizes where len(w) >= size)
+), hits as (
+  select doc_id, s, size, item_id from places join windows using (size, phrase)
+), covered as (
+  select doc_id, count(distinct p) as n_hit
+  from (select doc_id, unnest(range(s, s + size)) as p from hits) group by doc_id
+), found as (
+  select doc_id, count(distinct item_id) as n_items,
+    string_agg(distinct cast(item_id as varchar), ',' order by cast(item_id as varchar)) as items
+  from hits group by doc_id
+)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
+  coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 as contaminated
+from words left join covered using (doc_id) left join found using (doc_id)
+"""
+
+
 @query
 def op9_length_buckets(spark: SparkSession, folder: str) -> DataFrame:
     return packing.length_buckets(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    lexicon = toxicity.learn_lexicon(docs, table(spark, folder, "labels"))
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    scored = toxicity.toxicity_scores(docs, lexicon)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
