@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, license_scan, packing, token_counts, toxicity, vector_search
+from . import decontamination, license_scan, packing, subword_lm, token_counts, toxicity, vector_search
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -146,6 +146,12 @@ from words left join covered using (doc_id) left join found using (doc_id)
 """
 
 
+@query
+def op8_subword_lm(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return subword_lm.lm_scores(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query
 def op9_length_buckets(spark: SparkSession, folder: str) -> DataFrame:
     return packing.length_buckets(table(spark, folder, "documents").select("doc_id", "text"))
