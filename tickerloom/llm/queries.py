@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, license_scan, packing, subword_lm, token_counts, toxicity, vector_search
+from . import decontamination, license_scan, line_dedup, packing, subword_lm, token_counts, toxicity, vector_search
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,6 +56,11 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+@query
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.line_counts(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 @query
 def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
