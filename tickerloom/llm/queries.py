@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, license_scan, line_dedup, packing, subword_lm, token_counts, toxicity, vector_search
+from . import decontamination, license_scan, line_dedup, near_join, packing, subword_lm, token_counts, toxicity, vector_search
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +26,41 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_near_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_join.near_join(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+ORACLES["op1_near_join"] = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
+), sets as (
+  select doc_id, unnest(list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1),
+    lambda s: array_to_string(w[s:s + 4], ' ')))) as shingle
+  from words where len(w) > 0
+), sizes as (
+  select doc_id, count(*) as n from sets group by doc_id
+), common as (
+  select a.doc_id as a, b.doc_id as b, count(*) as n from sets a join sets b using (shingle)
+  where a.doc_id < b.doc_id group by all
+), pairs as (
+  select c.a, c.b from common c join sizes x on x.doc_id = c.a join sizes y on y.doc_id = c.b
+  where 9 * c.n >= 4 * (x.n + y.n)
+), edges as (
+  select a, b from pairs union all select b, a from pairs
+), reach (a, b) as (
+  select a, b from edges union select reach.a, edges.b from reach join edges on reach.b = edges.a
+), classes as (
+  select a as doc_id, least(a, min(b)) as class_id from reach group by a
+), links as (
+  select a as doc_id, count(*) as n_links from edges group by a
+)
+select doc_id, coalesce(class_id, doc_id) as class_id, coalesce(n_links, 0) as n_links
+from documents left join classes using (doc_id) left join links using (doc_id)
+"""
+
+
 @query
 def op2_vector_top_k(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
