@@ -1,13 +1,39 @@
-"""A corpus pipeline: each stage is one operator, written as Parquet and read again."""
+"""A corpus pipeline: each stage is one operator, written as Parquet and read again.
+
+All stages but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickerloom.llm import packing
+from tickerloom.llm import decontamination, line_dedup, near_join, packing, toxicity
 from tickerloom.session import fresh_path
 
-DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that are not scored as toxic. Labels of training rows are read, never scored."""
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    scored = toxicity.toxicity_scores(docs, toxicity.learn_lexicon(docs, labels))
+    return scored.where("predicted = 0").select(*docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents without lines that are near copies of an earlier line."""
+    return line_dedup.dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return near_join.keep_one_of_each(docs)
+
+
+def cut_benchmark_passages(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents without the passages they share with the benchmark."""
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
+    cut = decontamination.remove_passages(docs, benchmark)
+    return cut.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -15,7 +41,13 @@ def pack(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return packing.length_buckets(docs)
 
 
-STAGES = [("packing", pack)]
+STAGES = [
+    ("toxicity", reject_toxic),
+    ("line_dedup", drop_repeated_lines),
+    ("near_join", keep_one_of_each),
+    ("decontamination", cut_benchmark_passages),
+    ("packing", pack),
+]
 
 # The toxicity score is a fitted model, which SQL cannot express.
 ORACLE_SQL = None

@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, license_scan, line_dedup, near_join, packing, subword_lm, token_counts, toxicity, vector_search
+from . import decontamination, language_id, license_scan, line_dedup, near_join, packing, subword_lm, token_counts, toxicity, vector_search
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -145,6 +145,13 @@ from {previous}
 ORACLES["op5_license_scan"] = _license_oracle()
 
 
+@query
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identify_languages(
+        table(spark, folder, "pages"), table(spark, folder, "documents")
+    )
+
+
 @query
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
