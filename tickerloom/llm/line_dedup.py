@@ -23,7 +23,8 @@ SIMILARITY = 0.8
 SHINGLE = 8  # bytes
 BANDS, ROWS = 10, 4  # finds a pair of similarity 0.8 with probability 0.995
 _BINS = BANDS * ROWS
-_CHUNK = 1 << 21  # bytes hashed at once
+_CHUNK = 1 << 18  # bytes hashed at once
+_SLICE = 256  # texts held as lines at once
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -105,9 +106,15 @@ def _short(digest: bytes) -> int:
     return int.from_bytes(digest[:8], "little", signed=True)
 
 
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``doc_id, line, digest, short, bands`` of each line; only the first of a batch has bands."""
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        for start in range(0, batch.num_rows, _SLICE):
+            yield batch.slice(start, _SLICE)
+
+
+def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``doc_id, line, digest, short, bands`` of each line; only the first of a slice has bands."""
+    for batch in _sliced(batches):
         doc_ids, numbers, digests, fresh, values = [], [], [], [], []
         seen: dict[bytes, bytes] = {}
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -168,7 +175,7 @@ def _values(rows: DataFrame, bitmap: bytes) -> DataFrame:
     sent = rows.sparkSession.sparkContext.broadcast(bitmap)
 
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _sliced(batches):
             lines = {line for text in batch.column(0).to_pylist() for _, line in _lines(text)}
             found = []
             for line in lines:
