@@ -176,7 +176,7 @@ def identify_languages(
     current = slim.withColumn("p", _normalised(F.col("text")))
     for _ in range(ROUNDS):
         current = materialise(current, "posteriors")
-        overall = sums(current, None).first()["sums"] or [0.0] * size
+        overall = [amount or 0.0 for amount in sums(current, None).first()["sums"]]
         total = sum(overall)
         prior = F.array(*[F.lit((n + 1.0) / (total + size)) for n in overall])
 
