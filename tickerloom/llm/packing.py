@@ -101,9 +101,9 @@ def length_buckets(
         .collect()
     )
     if not histogram:
+        kind = rows.dtypes[0][1]
         return docs.sparkSession.createDataFrame(
-            [], rows.select("doc_id").schema.add("piece", "int").add("n_tokens", "long")
-            .add("bucket", "long").add("batch", "string").add("slot", "long"),
+            [], f"doc_id {kind}, piece int, n_tokens bigint, bucket bigint, batch string, slot bigint"
         )
     boundaries = best_boundaries([r["length"] for r in histogram], [r["n"] for r in histogram], buckets)
     sizes = {b: 0 for b in boundaries}
