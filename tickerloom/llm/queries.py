@@ -22,7 +22,12 @@ def query(function: Callable[[SparkSession, str], DataFrame]):
     return function
 
 
+# Rows of an Arrow batch: texts may be long, and a worker holds a batch several times over.
+BATCH_ROWS = 500
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

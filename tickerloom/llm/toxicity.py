@@ -51,7 +51,7 @@ ADDRESS = frozenset("you your youre du dich dein tu toi votre vous tú eres uste
 # A word; signs that stand in for letters inside one belong to it.
 TOKEN = re.compile(r"[^\W_]+(?:[*@$!'][^\W_]+)*")
 _QUOTES = re.compile(r'"[^"\n]{1,300}"|“[^”\n]{1,300}”|«[^»\n]{1,300}»|„[^“”\n]{1,300}[“”]')
-_KEPT_TOKENS = 500_000  # verdicts a worker keeps, for speed only
+_KEPT_TOKENS = 200_000  # verdicts a worker keeps, for speed only
 
 
 def allowed_edits(term: str) -> int:
