@@ -54,3 +54,13 @@ def test_first_row_of_each_symbol(spark, bars):
     found = ordering.first_per_symbol(df.unionByName(extra))
     assert found.columns == df.columns
     assert {r["symbol"]: r["close"] for r in found.collect()} == {"A": 3.0, "B": 4.0}
+
+
+def test_copies_spread_over_tasks(spark, bars):
+    copies = bars([("A", "2024-01-01", 1.0)]).crossJoin(spark.range(20_000)).drop("id").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [len(part) for part in ordering.sorted_panel(copies).rdd.glom().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) == 20_000 and max(sizes) < 15_000

@@ -36,10 +36,8 @@ def expected(rows, percent=20, seed=42):
     return chosen
 
 
-@pytest.mark.parametrize("small", [0, 100_000])
 @pytest.mark.parametrize("count, share", [(2001, 0.4), (17, 0.5), (5, 0.0), (1, 1.0)])
-def test_same_rows_as_a_plain_ranking(spark, monkeypatch, count, share, small):
-    monkeypatch.setattr(split, "_SMALL_CELL", small)
+def test_same_rows_as_a_plain_ranking(spark, count, share):
     df, rows = rows_of(spark, count, share)
     found = split.stratified_split(df, key=["name"]).collect()
     assert len(found) == count

@@ -18,9 +18,11 @@ def panel_order(df: DataFrame) -> list[Column]:
 
 
 def sorted_panel(df: DataFrame) -> DataFrame:
-    """Globally ordered panel, for the final sink. The range partitioning is over the whole row,
-    so a large symbol spreads over several partitions."""
-    return df.orderBy(*panel_order(df))
+    """Globally ordered panel, for the final sink. The range partitioning is over the whole row and
+    a random last key, so a large symbol, and even the copies of one row, spread over several
+    partitions; equal rows are interchangeable."""
+    spread = df.withColumn("_spread", F.rand(29))
+    return spread.orderBy(*panel_order(df), "_spread").drop("_spread")
 
 
 def with_position(df: DataFrame, name: str = "position") -> DataFrame:

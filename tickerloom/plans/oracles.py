@@ -214,7 +214,7 @@ select vec_id, cast(position - 1 as int) as position, cast(flat[position] as dou
 from (select vec_id, flat, unnest(range(1, len(flat) + 1)) as position
       from (select vec_id,
                    flatten([embedding[i * 4 + 1 : i * 4 + 4]
-                            for i in range(0, len(embedding) // 4)]) as flat
+                            for i in range(0, (len(embedding) + 3) // 4)]) as flat
             from embeddings))""",
     "sorted_panel": _with(
         "clean",

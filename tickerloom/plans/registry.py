@@ -94,7 +94,7 @@ def flatten_lists(spark, folder):
     """Vectors cut into lists of four, then joined again one level."""
     vector = F.col("embedding")
     nested = F.transform(
-        F.sequence(F.lit(0), F.floor(F.size(vector) / 4).cast("int") - 1),
+        F.filter(F.sequence(F.lit(0), F.size(vector)), lambda i: i * 4 < F.size(vector)),
         lambda i: F.slice(vector, i * 4 + 1, 4),
     )
     return (
@@ -218,14 +218,14 @@ def split_by_date(spark, folder):
 
 
 def forest_report(spark, folder):
-    """Split, fit, save, load, predict, report. Shallow trees keep the check short."""
+    """Split, fit, save, load, predict, report, at the depth of the flow."""
     stored = materialise(processed(spark, folder), "processed")
     matrix = features.feature_matrix(stored, keep=(SYMBOL, DATE))
     divided = split.stratified_split(matrix, key=[SYMBOL, DATE])
     divided = spark.read.schema(divided.schema).parquet(store(divided, "split", "is_test"))
     path = fresh_path(spark, "model")
     train = divided.where(~F.col("is_test")).drop("is_test")
-    model.save_model(model.train_forest(train, depth=5), path)
+    model.save_model(model.train_forest(train), path)
     scored = model.predict(model.load_model(path), divided.where("is_test"))
     return metrics.classification_report(scored, TARGET, "prediction")
 
