@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import pandas as pd
-import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickerloom.operators import clean, features
@@ -57,47 +57,42 @@ def brute_force(rows: list[tuple]) -> list[tuple]:
     )
 
 
-@pytest.mark.parametrize("hot_rows", [0, 5, 1000])
-def test_hot_symbols_get_the_same_answer(bars, hot_rows):
+def test_a_symbol_with_most_rows(bars):
     """Symbol A holds most rows, one of its days many copies; each day has one close."""
     dice = random.Random(7)
     rows = [("A", f"2024-01-{d:02d}", float(dice.randint(1, 9))) for d in range(1, 20)]
     rows += [rows[4]] * 40
     rows += [(s, f"2024-02-{d:02d}", float(dice.randint(1, 9))) for s in "BC" for d in range(1, 5)]
-    df = bars(rows)
-    found = features.next_close(
-        df.transform(clean.parse_dates), features.hot_symbols(df, hot_rows)
-    ).withColumn("published_date", F.col("published_date").cast("string"))
+    found = features.next_close(bars(rows).transform(clean.parse_dates)).withColumn(
+        "published_date", F.col("published_date").cast("string")
+    )
     assert successors(found) == brute_force(rows)
 
 
-@pytest.mark.parametrize("pieces", [1, 3, 4096])
-def test_hot_path_orders_ties_like_the_window(spark, bars, monkeypatch, pieces):
-    """Many different rows on few days, with missing days and closes."""
-    monkeypatch.setattr(features, "DAY_PIECES", pieces)
+def test_ties_are_ordered_like_one_window(spark, bars):
+    """Many different rows on few days, with missing and far days, and missing closes."""
     dice = random.Random(11)
-    days = ["2024-01-01", "2024-01-02", "2024-01-05", "no day"]
+    days = ["2024-01-01", "2024-01-02", "2024-01-05", "9999-12-31", "no day"]
     rows = [("A", dice.choice(days), float(dice.randint(1, 50))) for _ in range(300)]
     df = bars(rows).withColumn(
         "status", F.when(F.col("close") % 3 == 0, F.lit(None)).otherwise(F.col("status"))
     ).withColumn("close", F.when(F.col("close") != 7, F.col("close")))
     df = df.transform(clean.parse_dates)
-    plain = features.next_close(df, features.hot_symbols(df, 10_000))
-    spread = features.next_close(df, features.hot_symbols(df, 0))
-    assert spread.count() == 300
-    assert successors(spread) == successors(plain)
-
-
-def test_the_list_of_hot_symbols_may_be_cut(bars, monkeypatch):
-    monkeypatch.setattr(features, "MAX_HOT_SYMBOLS", 1)
-    rows = [(s, f"2024-01-{d:02d}", float(d)) for s in "ABC" for d in range(1, 9)]
-    df = bars(rows)
-    hot = features.hot_symbols(df, 3)
-    assert hot.count() == 1
-    found = features.next_close(df.transform(clean.parse_dates), hot).withColumn(
-        "published_date", F.col("published_date").cast("string")
+    ties = [name for name in df.columns if name not in ("symbol", "published_date")]
+    by_date = Window.partitionBy("symbol").orderBy(
+        F.asc_nulls_last("published_date"), F.xxhash64(*ties), *ties
     )
-    assert successors(found) == brute_force(rows)
+    plain = df.withColumn("next_close", F.lead("close").over(by_date))
+    found = features.next_close(df)
+    assert found.count() == 300
+    assert successors(found) == successors(plain)
+
+
+def test_no_rows_and_rows_without_a_symbol(spark, bars):
+    df = bars([("A", "2024-01-02", 5.0)]).transform(clean.parse_dates)
+    assert features.next_close(df.limit(0)).count() == 0
+    none = df.withColumn("symbol", F.lit(None).cast("string"))
+    assert [row["next_close"] for row in features.next_close(df.union(none)).collect()] == [None, None]
 
 
 def test_movement_column(bars):

@@ -8,20 +8,7 @@ from pyspark.sql import Window
 
 from ..functions import movement
 from ..schema import DATE, FEATURES, SYMBOL, TARGET
-from ..session import materialise
-from .copies import expand_copies
-
-# A symbol has at most one trading day per calendar day, so a symbol with more rows than this
-# holds repeated days, and its rows are spread over several tasks.
-HOT_SYMBOL_ROWS = 1_000_000
-# Bound on the broadcast list of hot symbols. Symbols beyond it are handled exactly by the plain
-# window; each of them has at most (all rows / MAX_HOT_SYMBOLS) rows.
-MAX_HOT_SYMBOLS = 10_000
-# Pieces a single (symbol, day) is cut into.
-DAY_PIECES = 4096
-
-_FAR_DAY = "9999-12-31"
-
+from .ordering import range_pieces
 
 def price_features(df: DataFrame) -> DataFrame:
     """``price_range`` and ``daily_return``; needs ``open`` above 0."""
@@ -37,96 +24,35 @@ def movement_label(df: DataFrame) -> DataFrame:
     return df.withColumn("movement", movement(F.col("open"), F.col("close")))
 
 
-def hot_symbols(df: DataFrame, rows: int = HOT_SYMBOL_ROWS) -> DataFrame:
-    """Symbols with more than ``rows`` rows, largest first, at most ``MAX_HOT_SYMBOLS`` of them.
-    The count combines on the map side and reads the symbol column only."""
-    return (
-        df.groupBy(SYMBOL)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > rows)
-        .orderBy(F.desc("_rows"), SYMBOL)
-        .limit(MAX_HOT_SYMBOLS)
-        .select(SYMBOL)
-    )
-
-
-def next_close(df: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def next_close(df: DataFrame) -> DataFrame:
     """Add ``next_close``: the close of the symbol's next row by date, NULL on its last row.
 
-    Rows of one day are ordered by a hash of their other columns, then by those columns, so the
-    result repeats. Expects rows with a symbol.
+    Rows without a date follow all others. Rows of one day are ordered by a hash of their other
+    columns, then by those columns, so the result repeats; equal rows follow one another.
 
-    Ordinary symbols take one window over the symbol. A hot symbol would put its rows in one
-    task; see ``_next_close_hot`` for those. Both paths give the same answer, so ``hot`` need not
-    be exact: a caller that holds a cheaper table with the same symbols can pass ``hot_symbols``
-    of that. By default the rows of ``df`` are counted first, in a small job of its own: without
-    hot symbols, as in any panel with one row per day, only the plain window is planned.
+    One path whatever the size of a symbol: the rows are cut into ranges of about one size in
+    this order and stored, so a large symbol, a day or a set of copies spans several ranges. The
+    next row is sought inside the range; the last row of a range takes the first row of the next
+    one. A successor counts only if it is of the same symbol.
     """
     ties = [name for name in df.columns if name not in (SYMBOL, DATE)]
-    piece = F.pmod(F.xxhash64(*ties), F.lit(DAY_PIECES)).cast("int")
-    keyed = df.withColumn("_piece", piece)
-    columns = [*df.columns, "next_close"]
-    by_date = Window.partitionBy(SYMBOL).orderBy(F.asc_nulls_last(DATE), "_piece", *ties)
-    following = F.lead("close").over(by_date)
-
-    hot = hot_symbols(df) if hot is None else hot.select(SYMBOL).distinct().limit(MAX_HOT_SYMBOLS)
-    hot = materialise(hot, "hot")
-    if hot.isEmpty():
-        return keyed.withColumn("next_close", following).select(*columns)
-    marked = keyed.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), SYMBOL, "left")
-    ordinary = marked.where(F.col("_hot").isNull()).withColumn("next_close", following)
-    spread = _next_close_hot(marked.where("_hot"), ties)
-    return ordinary.select(*columns).unionByName(spread.select(*columns))
-
-
-def _next_close_hot(df: DataFrame, ties: list[str]) -> DataFrame:
-    """``next_close`` for symbols too large for one task.
-
-    Equal rows collapse to one row and a count. The distinct rows are cut into (symbol, day,
-    piece); the successor is sought inside the piece, then at the head of the day's next piece,
-    then at the head of the symbol's next day. No window sees more than one piece, the pieces of
-    one day, or the days of one symbol. Rows without a day form a day after all others.
-    """
-    day = [SYMBOL, "_day"]
-    piece = [*day, "_piece"]
-    last_day = F.to_date(F.lit(_FAR_DAY))
-    rows = (
-        df.withColumn("_day", F.coalesce(F.col(DATE), last_day))
-        .groupBy(*piece, DATE, *ties)
-        .agg(F.count(F.lit(1)).alias("_copies"))
-    )
-
-    # A struct tells "no successor" (NULL) from "the successor has no close" (struct of NULL).
-    close = F.struct("close")
-    piece_heads = rows.groupBy(*piece).agg(F.min_by(close, F.struct(*ties)).alias("_head"))
-    day_heads = (
-        piece_heads.groupBy(*day)
-        .agg(F.min_by("_head", "_piece").alias("_head"))
-        .withColumn("_next_day", F.lead("_head").over(Window.partitionBy(SYMBOL).orderBy("_day")))
-        .select(*day, "_next_day")
-    )
-    next_piece = F.lead("_head").over(Window.partitionBy(*day).orderBy("_piece"))
-    successors = (
-        piece_heads.withColumn("_next_piece", next_piece)
-        .join(day_heads, day)
-        .select(*piece, F.coalesce("_next_piece", "_next_day").alias("_after"))
-    )
-    inside = F.lead(close).over(Window.partitionBy(*piece).orderBy(*ties))
-    last_copies = (
-        rows.withColumn("_inside", inside)
-        .join(successors, piece)
-        .withColumn("next_close", F.coalesce("_inside", "_after")["close"])
-        .select(SYMBOL, DATE, *ties, "next_close")
-    )
-    # Of n equal rows, n - 1 are followed by a copy of themselves.
-    other_copies = rows.where("_copies > 1").select(
-        SYMBOL,
-        DATE,
-        *ties,
-        F.col("close").alias("next_close"),
-        (F.col("_copies") - 1).alias("_copies"),
+    order = [F.asc(SYMBOL), F.asc_nulls_last(DATE), F.xxhash64(*ties), *ties]
+    pieces = range_pieces(df, order, "label")
+    # A struct tells "no successor" (NULL) from "the successor has no close".
+    row = F.struct(SYMBOL, "close")
+    inside = F.lead(row).over(Window.partitionBy("_range").orderBy("_row"))
+    # One row per range: bounded by spark.sql.shuffle.partitions.
+    heads = pieces.where("_row = 0").select("_range", row.alias("_head"))
+    after = F.lead("_head").over(Window.partitionBy(F.lit(0)).orderBy("_range"))
+    heads = heads.select("_range", after.alias("_after"))
+    same = F.col("_next")[SYMBOL].eqNullSafe(F.col(SYMBOL))
+    return (
+        pieces.withColumn("_inside", inside)
+        .join(F.broadcast(heads), "_range")
+        .withColumn("_next", F.coalesce("_inside", "_after"))
+        .withColumn("next_close", F.when(same, F.col("_next")["close"]))
+        .select(*df.columns, "next_close")
     )
-    return last_copies.unionByName(expand_copies(other_copies, "_copies"))
 
 
 def next_up(close: Column, following: Column) -> Column:
@@ -134,11 +60,10 @@ def next_up(close: Column, following: Column) -> Column:
     return F.when(following > close, 1).otherwise(0)
 
 
-def label_next_up(df: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    """Add ``next_close`` and ``target``; drop rows without a next close. ``hot``: see
-    ``next_close``."""
+def label_next_up(df: DataFrame) -> DataFrame:
+    """Add ``next_close`` and ``target``; drop rows without a next close."""
     return (
-        next_close(df, hot)
+        next_close(df)
         .where(F.col("next_close").isNotNull() & ~F.isnan("next_close"))
         .withColumn(TARGET, next_up(F.col("close"), F.col("next_close")))
     )

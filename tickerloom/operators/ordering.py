@@ -17,31 +17,39 @@ def panel_order(df: DataFrame) -> list[Column]:
     return [F.asc(SYMBOL), *dates, *[F.asc(name) for name in others]]
 
 
-def sorted_panel(df: DataFrame) -> DataFrame:
-    """Globally ordered panel, for the final sink. The range partitioning is over the whole row and
-    a random last key, so a large symbol, and even the copies of one row, spread over several
-    partitions; equal rows are interchangeable."""
-    spread = df.withColumn("_spread", F.rand(29))
-    return spread.orderBy(*panel_order(df), "_spread").drop("_spread")
+def _spread_order(df: DataFrame, order: list[Column]) -> DataFrame:
+    """Global sort whose ranges are over ``order`` and a random last key, so a large symbol, and
+    even the copies of one row, spread over several partitions."""
+    return df.withColumn("_spread", F.rand(29)).orderBy(*order, "_spread").drop("_spread")
 
 
-def with_position(df: DataFrame, name: str = "position") -> DataFrame:
-    """Number the rows of the sorted panel from 0.
+def sorted_panel(df: DataFrame) -> DataFrame:
+    """Globally ordered panel, for the final sink; equal rows are interchangeable."""
+    return _spread_order(df, panel_order(df))
 
-    A window over all rows would be one task. Here each range partition numbers its own rows, and
-    the sizes of the partitions before it, one row per partition, are added. The sorted rows are
-    written once, so sizes and rows come from the same partitioning.
-    """
+
+def range_pieces(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """The sorted rows, stored once, with the number of their range (``_range``, ascending, empty
+    ranges left out) and their place in it (``_row``, from 0). Stored, so that every reader sees
+    one partitioning."""
     row_bits = 33  # monotonically_increasing_id: partition number above, row number below
-    identity = F.monotonically_increasing_id()
-    pieces = materialise(
-        sorted_panel(df)
-        .withColumn("_id", identity)
+    return materialise(
+        _spread_order(df, order)
+        .withColumn("_id", F.monotonically_increasing_id())
         .withColumn("_range", F.shiftright("_id", row_bits))
         .withColumn("_row", F.col("_id").bitwiseAND(F.lit((1 << row_bits) - 1)))
         .drop("_id"),
-        "sorted",
+        name,
     )
+
+
+def with_position(df: DataFrame, name: str = "position") -> DataFrame:
+    """Number the rows of the sorted panel from 0.
+
+    A window over all rows would be one task. Here each range partition numbers its own rows, and
+    the sizes of the partitions before it, one row per partition, are added.
+    """
+    pieces = range_pieces(df, panel_order(df), "sorted")
     before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(
         Window.unboundedPreceding, -1
     )

@@ -199,6 +199,14 @@ ORACLES: dict[str, str] = {
     "label_next_up": _with(
         "processed", "select * exclude (price_range, daily_return) from processed"
     ),
+    "label_skewed": _with(
+        "clean",
+        "select *, cast(case when next_close > close then 1 else 0 end as int) as target from ("
+        "select *, lead(close) over (order by published_date) as next_close from ("
+        "select * replace ('ALL' as symbol, "
+        "published_date + cast(substr(symbol, 2) as int) * 400 as published_date) from clean)) "
+        "where next_close is not null",
+    ),
     "movement_label": _with(
         "fin",
         "select *, case when close > open then 'up' when close < open then 'down' "

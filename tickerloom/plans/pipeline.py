@@ -112,7 +112,7 @@ def preprocess(spark: SparkSession, settings: Settings) -> dict[str, int]:
     labelled = (
         rows.transform(clean.clean_panel)
         .transform(features.price_features)
-        .transform(features.label_next_up, features.hot_symbols(rows))
+        .transform(features.label_next_up)
     )
     labelled, watch = _observed(labelled, "processed")
     settings.hand_over.save(labelled, PROCESSED)

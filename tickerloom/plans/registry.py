@@ -67,19 +67,19 @@ def price_features(spark, folder):
     return event_panel.cleaned(spark, folder).transform(features.price_features)
 
 
-def _label(df, spark, folder):
-    # The panel has no more rows per symbol than there are bars, and bars are cheaper to count:
-    # two columns of the events, combined on the map side.
-    hot = features.hot_symbols(event_panel.bars(spark, folder))
-    return features.label_next_up(df, hot)
-
-
 def label_next_up(spark, folder):
-    return event_panel.cleaned(spark, folder).transform(_label, spark, folder)
+    return event_panel.cleaned(spark, folder).transform(features.label_next_up)
 
 
 def processed(spark, folder):
-    return price_features(spark, folder).transform(_label, spark, folder)
+    return price_features(spark, folder).transform(features.label_next_up)
+
+
+def label_skewed(spark, folder):
+    """All bars under one symbol, each on a day of its own."""
+    number = F.substring(SYMBOL, 2, 10).cast("int")
+    one = event_panel.cleaned(spark, folder).withColumn(DATE, F.date_add(DATE, number * 400))
+    return one.withColumn(SYMBOL, F.lit("ALL")).transform(features.label_next_up)
 
 
 def movement_label(spark, folder):
@@ -346,6 +346,7 @@ QUERIES: dict[str, Query] = {
     "normalize_columns": normalize_columns,
     "features": price_features,
     "label_next_up": label_next_up,
+    "label_skewed": label_skewed,
     "movement_label": movement_label,
     "feature_matrix": feature_matrix,
     "flatten_lists": flatten_lists,
