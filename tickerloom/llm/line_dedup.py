@@ -7,11 +7,11 @@ similarity decides; one line of each connected component stays.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +25,7 @@ BANDS, ROWS = 10, 4  # finds a pair of similarity 0.8 with probability 0.995
 _BINS = BANDS * ROWS
 _CHUNK = 1 << 18  # bytes hashed at once
 _SLICE = 256  # texts held as lines at once
+_KNOWN = 200_000  # digests a task remembers, for speed only: a line met again has its bands again
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -79,13 +80,25 @@ def band_hashes(lines: list[bytes]) -> np.ndarray:
     return mixed(band + np.arange(1, BANDS + 1, dtype=np.uint64) * _MIX).view(np.int64)
 
 
+def shingle_set(line: bytes) -> np.ndarray:
+    """The different shingles of one line, ascending."""
+    padded = line.ljust(SHINGLE, b"\0")
+    values = np.ndarray((len(padded) - SHINGLE + 1,), "<u8", padded, 0, (1,)).copy()
+    values.sort()
+    return values[np.append(True, values[1:] != values[:-1])]
+
+
+def overlap(one: np.ndarray, other: np.ndarray) -> float:
+    """Jaccard similarity of two sets, each without repeats."""
+    merged = np.concatenate((one, other))
+    merged.sort()
+    both = np.count_nonzero(merged[1:] == merged[:-1])
+    return both / (len(one) + len(other) - both)
+
+
 def jaccard(a: bytes, b: bytes) -> float:
     """Exact similarity of two normalised lines."""
-    one, _ = shingles([a])
-    other, _ = shingles([b])
-    one, other = np.unique(one), np.unique(other)
-    both = len(np.intersect1d(one, other, assume_unique=True))
-    return both / (len(one) + len(other) - both)
+    return overlap(shingle_set(a), shingle_set(b))
 
 
 def _lines(text: str | None) -> list[tuple[int, bytes]]:
@@ -99,7 +112,7 @@ def _lines(text: str | None) -> list[tuple[int, bytes]]:
 
 
 def _digest(line: bytes) -> bytes:
-    return hashlib.blake2b(line, digest_size=16).digest()
+    return xxhash.xxh3_128_digest(line)
 
 
 def _short(digest: bytes) -> int:
@@ -113,16 +126,22 @@ def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``doc_id, line, digest, short, bands`` of each line; only the first of a slice has bands."""
+    """``doc_id, line, digest, short, bands`` of each line. Copies of a line have the same bands, so
+    a line of which the task remembers an earlier copy has none."""
+    known: set[bytes] = set()
     for batch in _sliced(batches):
+        if len(known) > _KNOWN:
+            known.clear()
         doc_ids, numbers, digests, fresh, values = [], [], [], [], []
         seen: dict[bytes, bytes] = {}
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             for number, line in _lines(text):
                 digest = seen.get(line)
-                fresh.append(digest is None)
                 if digest is None:
                     digest = seen[line] = _digest(line)
+                fresh.append(digest not in known)
+                if fresh[-1]:
+                    known.add(digest)
                     values.append(line)
                 doc_ids.append(doc_id)
                 numbers.append(number)
@@ -157,12 +176,20 @@ def _in_chunks(lines: list[bytes]) -> np.ndarray:
 def _similar(similarity: float):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, text_a, text_b = (column.to_pylist() for column in batch.columns)
-            found = [
-                (x, y)
-                for x, y, s, t in zip(a, b, text_a, text_b, strict=True)
-                if x != y and jaccard(s, t) >= similarity
-            ]
+            # Pairs come in order of b, so its shingles often serve the next pair too.
+            last, other = None, np.zeros(0, "<u8")
+            found = []
+            for x, y, s, t in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                if x == y:
+                    continue
+                if y != last:
+                    last, other = y, shingle_set(t)
+                one = shingle_set(s)
+                # No similarity is above the ratio of the sizes.
+                if min(len(one), len(other)) < similarity * max(len(one), len(other)):
+                    continue
+                if overlap(one, other) >= similarity:
+                    found.append((x, y))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([pair[side] for pair in found], pa.binary()) for side in (0, 1)], ["a", "b"]
             )
