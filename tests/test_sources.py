@@ -171,3 +171,45 @@ def test_pages(spark, tmp_path):
     audit = {r["symbol"]: (r["announced"], r["landed"], r["missing"])
              for r in pages.page_completeness(landed).collect()}
     assert audit["AAA"] == (3, 3, 0) and audit["BBB"] == (4, 0, 4) and audit["CCC"] == (1, 1, 0)
+
+
+def test_unusable_pages_and_cells_are_set_aside(spark, tmp_path):
+    rows = [
+        {"Published Date": "2024-01-02", " Close ": "1,234.50", "status": "1"},
+        {"published_date": "2024-01-03", "close": "abc"},
+        {"published_date": "2024-01-04", "close": "1.0d"},
+        {"published_date": "2024-01-05", "close": "2", "status": "3000000000"},
+        {"published_date": None, "close": None, "other": "x"},
+    ]
+    text = answer(rows, 5) + '\n{"data": [{"close": "1"\n' + json.dumps({"data": "none"}) + "\n"
+    (tmp_path / "AAA.json").write_text(text)
+    landed = pages.read_pages(spark, str(tmp_path))
+    parsed = pages.parse_pages(landed, thousands=",")
+    found = sorted((str(r["published_date"]), r["close"]) for r in pages.usable(parsed).collect())
+    assert found == [("2024-01-02", 1234.5), ("None", None)]
+    reasons = sorted(r["reason"] for r in pages.quarantine(parsed).collect())
+    assert reasons == ["not a number"] * 3 + ["not a page"] * 2
+    plain = pages.quarantine(pages.parse_pages(landed))
+    assert plain.where("reason = 'not a number'").count() == 4
+
+
+def test_overlapping_pages_count_rows_once(spark, tmp_path):
+    days = [f"2024-01-{day:02d}" for day in range(1, 6)]
+    first = answer([price(i, day, 1) for i, day in enumerate(days[:3])], 6)
+    second = answer([price(i, day, 1) for i, day in enumerate(days[2:])], 6)
+    (tmp_path / "AAA.json").write_text(f"{first}\n{second}\n")
+    row = pages.page_completeness(pages.read_pages(spark, str(tmp_path))).first()
+    assert (row["announced"], row["landed"], row["missing"]) == (6, 5, 1)
+
+
+def test_one_number_rule_for_all_lines(spark, folder):
+    place = folder(
+        {
+            "AAA.csv": f"{HEADER}\n2024-01-02,1.0d,1,1,1,1,1,1,0\n2024-01-03,1.0d,1,1,1,,1,1,0\n"
+            "2024-01-04,0x1p3,1,1,1,1,1,1,0\n2024-01-05,1,1,1,1,1,1,1,3000000000\n"
+            "2024-01-06,-Infinity,1,1,1,1,1,inf,0\n"
+        }
+    )
+    scan = company_files.scan_company_files(spark, place)
+    assert [r["published_date"] for r in scan.rows().collect()] == ["2024-01-06"]
+    assert [r["reason"] for r in scan.quarantine().collect()] == ["not a number"] * 4

@@ -41,9 +41,37 @@ def test_a_second_run_reads_only_new_pages(spark, places):
     land(folders["landing"], "3.json", [])
     load(spark, paths)
     assert len(staged_days(spark, paths)) == 4
-    final = page_load.finalise(spark, paths["staged"], paths["final"], paths["progress"])
-    assert final.count() == 3
-    assert not folders["staged"].exists() and not folders["progress"].exists()
+    final = page_load.finalise(spark, paths["staged"], paths["final"])
+    assert final.count() == 3 and not folders["staged"].exists()
+
+
+def final_days(spark, paths):
+    rows = page_load.finalise(spark, paths["staged"], paths["final"])
+    return sorted(row["published_date"] for row in rows.collect())
+
+
+def test_a_second_cycle_keeps_the_history(spark, places):
+    paths, folders = places
+    land(folders["landing"], "1.json", ["2024-01-02", "2024-01-03"])
+    load(spark, paths)
+    assert final_days(spark, paths) == ["2024-01-02", "2024-01-03"]
+    (folders["landing"] / "1.json").unlink()
+    land(folders["landing"], "2.json", ["2024-01-03", "2024-01-04"])
+    load(spark, paths)
+    assert final_days(spark, paths) == ["2024-01-02", "2024-01-03", "2024-01-04"]
+    load(spark, paths)  # nothing landed
+    assert final_days(spark, paths) == ["2024-01-02", "2024-01-03", "2024-01-04"]
+
+
+def test_unreadable_pages_are_published_as_quarantine(spark, places):
+    paths, folders = places
+    land(folders["landing"], "1.json", ["2024-01-02"])
+    (folders["landing"] / "2.json").write_text('{"symbol": "AAA", "data": [{"close"\n')
+    for _ in range(2):
+        load(spark, paths)
+        assert final_days(spark, paths) == ["2024-01-02"]
+    lost = spark.read.parquet(f"{paths['final']}_quarantine").collect()
+    assert [(row["reason"], row["path"][-6:]) for row in lost] == [("not a page", "2.json")]
 
 
 def test_a_broken_checkpoint_restarts_the_load(spark, places):
@@ -55,7 +83,8 @@ def test_a_broken_checkpoint_restarts_the_load(spark, places):
             path.write_text("garbage")
     land(folders["landing"], "2.json", ["2024-01-03"])
     load(spark, paths)
-    assert staged_days(spark, paths) == ["2024-01-02", "2024-01-03"]
+    assert set(staged_days(spark, paths)) == {"2024-01-02", "2024-01-03"}
+    assert final_days(spark, paths) == ["2024-01-02", "2024-01-03"]
 
 
 def panel(spark, rows):
@@ -86,6 +115,10 @@ def test_days_are_appended_once(spark, tmp_path):
     daily_append.append_batch(spark, history, day)  # a replayed batch
     daily_append.append_batch(spark, history, day.limit(0))
     assert stored(spark, history) == expected
+    undated = spark.read.parquet(f"{history}_quarantine").collect()
+    assert [(r["reason"], json.loads(r["line"])["close"]) for r in undated] == [
+        ("no symbol or day", 6.0)
+    ]
 
 
 def test_bounded_state_dedupe(spark, tmp_path):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -45,10 +46,21 @@ def is_missing_text(text: Column) -> Column:
     return text.isNull() | F.trim(text).isin(MISSING_TEXTS)
 
 
-def number_from_text(text: Column, kind: T.DataType | None = None) -> Column:
+# What the double cast accepts beyond decimal numbers: type letters and hexadecimal digits.
+_NOT_DECIMAL = r"[0-9.][dDfF]\s*$|[xX]"
+
+
+def number_from_text(
+    text: Column, kind: T.DataType | None = None, thousands: str | None = None
+) -> Column:
     """Number in a text, NULL when missing or unreadable; every spelling of infinity is accepted.
-    Whole numbers may be written with a fraction (``1.0``)."""
-    value = F.trim(text).try_cast(T.DoubleType())
+    Whole numbers may be written with a fraction (``1.0``), and with a separator between groups of
+    three digits when ``thousands`` names one."""
+    if thousands is not None:
+        mark = re.escape(thousands)
+        grouped = text.rlike(rf"^\s*[+-]?\d{{1,3}}({mark}\d{{3}})+(\.\d*)?\s*$")
+        text = F.when(grouped, F.replace(text, F.lit(thousands), F.lit(""))).otherwise(text)
+    value = F.when(~text.rlike(_NOT_DECIMAL), F.trim(text).try_cast(T.DoubleType()))
     if kind is None or isinstance(kind, T.DoubleType):
         return F.nullif(value, F.lit(float("nan")))
     return value.try_cast(kind)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,12 +49,32 @@ def one_per_day(df: DataFrame) -> DataFrame:
     )
 
 
+def rows_not_in(known: DataFrame, new: DataFrame) -> DataFrame:
+    """Rows of ``new`` that ``known`` lacks, compared whole, with NULL equal to NULL."""
+    a, b = new.alias("a"), known.alias("b")
+    same = reduce(and_, [F.col(f"a.`{n}`").eqNullSafe(F.col(f"b.`{n}`")) for n in new.columns])
+    return a.join(b, same, "left_anti")
+
+
+def undated_rows(new: DataFrame) -> DataFrame:
+    """Rows without a symbol or a day, which cannot be told new from old, as quarantine:
+    ``path, line, reason``."""
+    lacking = F.col(SYMBOL).isNull() | F.col(DATE).isNull()
+    return new.where(lacking).select(
+        F.lit(None).cast("string").alias("path"),
+        F.to_json(F.struct(*new.columns)).alias("line"),
+        F.lit("no symbol or day").alias("reason"),
+    )
+
+
 def unseen_rows(history: DataFrame, new: DataFrame) -> DataFrame:
-    """Rows of ``new`` whose (symbol, day) the history lacks, one per (symbol, day).
+    """Rows of ``new`` whose (symbol, day) the history lacks, one per (symbol, day). Rows without
+    symbol or day take no part; see :func:`undated_rows`.
 
     Of the history only the two key columns are read, and only between the first and the last day
     of ``new``: the bounds are scalar subqueries, which the scan turns into pushed filters.
     """
+    new = new.dropna(subset=[SYMBOL, DATE])
     fresh = one_per_day(new)
     days = new.agg(F.min(DATE).alias("first"), F.max(DATE).alias("last"))
     known = (

@@ -306,17 +306,51 @@ select 'weighted avg', sum("precision" * support) / sum(support),
     "merged_csv_roundtrip": _with("uniq", _finite("uniq")),
     "scan_company_files": _with("raw", _finite("raw")),
     "page_explode": _with("raw", _finite("raw")),
+    # A first page without data loses 40 rows: the next page brings its last ten again.
     "page_completeness": _with(
-        "dirty raw",
+        "raw",
         """
 select symbol, announced, landed, greatest(announced - landed, 0) as missing
 from (select symbol,
-             cast(case when any_value(number) % 11 = 5 then 0 else count(*) end as bigint)
+             cast(case when any_value(number) % 11 = 5 then 0 else any_value(total) end as bigint)
                as announced,
-             cast(case when any_value(number) % 7 = 3 then greatest(count(*) - 50, 0)
-                       else count(*) end as bigint) as landed
-      from (select symbol, cast(substr(symbol, 2) as bigint) as number from raw)
+             cast(count(distinct case when number % 7 = 3 and place <= 40
+                                      then null else cells end) as bigint) as landed
+      from (select symbol, cast(substr(symbol, 2) as bigint) as number,
+                   count(*) over (partition by symbol) as total,
+                   row_number() over (partition by symbol order by published_date,
+                                      open nulls first, high, low, close) as place,
+                   cast(row(published_date, open, high, low, close, per_change, traded_quantity,
+                            traded_amount) as varchar) as cells
+            from raw)
       group by symbol)""",
     ),
+    "page_quarantine": _with(
+        "dirty uniq",
+        """
+select 'not a page' as reason, cast(count(*) as bigint) as lines
+from (select distinct symbol, (place - 1) // 50 as page
+      from (select symbol, row_number() over (partition by symbol) as place from raw
+            where cast(substr(symbol, 2) as bigint) % 13 = 4))
+having count(*) > 0
+union all
+select 'not a number', cast(count(*) as bigint) from uniq
+where cast(substr(symbol, 2) as bigint) % 13 <> 4
+  and cast(substr(symbol, 2) as bigint) % 20 = 8 and published_date like '%-18'
+having count(*) > 0""",
+    ),
+    "two_page_cycles": _with("uniq", _finite("uniq")),
+    "file_audit": _with(
+        "raw",
+        "select cast(count(distinct symbol) as bigint) as files_found, "
+        "cast(count(distinct symbol) as bigint) as files_valid, "
+        "cast(count(*) as bigint) as lines_used, cast(0 as bigint) as lines_set_aside from raw",
+    ),
+    "forest_checks": _with(
+        "quotas sizes",
+        "select target as label, cast(n - need as bigint) as train_rows, "
+        "cast(need as bigint) as test_rows, cast((select sum(need) from quotas) as bigint) "
+        "as scored, true as accurate from sizes join quotas using (target)",
+    ),
     "stream_page_load": _with("uniq", _finite("uniq")),
 }

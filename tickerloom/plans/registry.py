@@ -190,6 +190,19 @@ def rows_per_symbol(spark, folder):
     return event_panel.raw(spark, folder).transform(profile.rows_per_symbol)
 
 
+def file_audit(spark, folder):
+    """Files found, files with a usable row, and their lines."""
+    path = _write_company_files(spark, folder)
+    pattern = r"symbol=([^/]+)/[^/]+\.csv$"
+    files = scan_company_files(spark, path, symbol_pattern=pattern, nested=True).audit()
+    return files.agg(
+        F.count(F.lit(1)).alias("files_found"),
+        F.count_if(F.col("row_count") > 0).alias("files_valid"),
+        F.sum("row_count").alias("lines_used"),
+        F.sum("quarantined").alias("lines_set_aside"),
+    )
+
+
 # -- metrics, split, model ----------------------------------------------------------------------
 
 
@@ -217,8 +230,9 @@ def split_by_date(spark, folder):
     return split.split_by_date(rows, "2024-01-24")
 
 
-def forest_report(spark, folder):
-    """Split, fit, save, load, predict, report, at the depth of the flow."""
+def _forest(spark, folder) -> tuple[DataFrame, DataFrame]:
+    """The divided rows, and the test rows with predictions: split, fit, save, load, predict, at
+    the depth of the flow."""
     stored = materialise(processed(spark, folder), "processed")
     matrix = features.feature_matrix(stored, keep=(SYMBOL, DATE))
     divided = split.stratified_split(matrix, key=[SYMBOL, DATE])
@@ -226,8 +240,28 @@ def forest_report(spark, folder):
     path = fresh_path(spark, "model")
     train = divided.where(~F.col("is_test")).drop("is_test")
     model.save_model(model.train_forest(train), path)
-    scored = model.predict(model.load_model(path), divided.where("is_test"))
-    return metrics.classification_report(scored, TARGET, "prediction")
+    return divided, model.predict(model.load_model(path), divided.where("is_test"))
+
+
+def forest_report(spark, folder):
+    return metrics.classification_report(_forest(spark, folder)[1], TARGET, "prediction")
+
+
+def forest_checks(spark, folder):
+    """What is exact about the forest: the sides of the split per class, every test row scored with
+    a class, and an accuracy no worse than a tenth below the larger class's share."""
+    divided, scored = _forest(spark, folder)
+    sides = divided.groupBy(F.col(TARGET).alias("label")).agg(
+        F.count_if(~F.col("is_test")).alias("train_rows"), F.count_if("is_test").alias("test_rows")
+    )
+    hit = F.col("prediction") == F.col(TARGET)
+    known = F.col("prediction").isin(0, 1)
+    totals = scored.agg(
+        F.count_if(known).alias("scored"),
+        (F.count_if(hit) / F.count(F.lit(1))).alias("_accuracy"),
+        (F.greatest(F.mean(TARGET), 1 - F.mean(TARGET)) - 0.1).alias("_least"),
+    ).select("scored", (F.col("_accuracy") >= F.col("_least")).alias("accurate"))
+    return sides.join(F.broadcast(totals))  # one row
 
 
 # -- sources and sinks --------------------------------------------------------------------------
@@ -284,19 +318,25 @@ def scan_files(spark, folder):
     return scan.rows().drop("status").transform(clean.nonfinite_to_null)
 
 
-def _land_pages(spark, folder, gaps: bool = False) -> str:
-    """The dirty panel as JSON pages of 50 rows. The window holds a symbol's days (each at most
-    twice), so the calendar bounds it, and a page's list has 50 rows. First pages land twice.
-    With ``gaps`` some symbols' first pages come without data, some without a total."""
+def _answers(spark, folder, gaps: bool = False) -> DataFrame:
+    """The dirty panel as answers of 50 rows. The window holds a symbol's days (each at most
+    twice), so the calendar bounds it, as 50 or 60 bound a page's list. First pages come twice.
+    With ``gaps`` some symbols' first pages come without data, some without a total, and each page
+    begins with the last ten rows of the one before."""
     rows = event_panel.raw(spark, folder)
     cells = [name for name in rows.columns if name != SYMBOL]
     by_date = Window.partitionBy(SYMBOL).orderBy(*cells)
     number = F.substring(SYMBOL, 2, 20).cast("bigint")
     first_page = F.col("_page") == 0
+    index = F.col("DT_Row_Index") - 1
+    page = F.floor(index / PAGE_ROWS)
+    overlap = F.lit(gaps) & (index % PAGE_ROWS >= PAGE_ROWS - 10)
     answers = (
         rows.withColumn("DT_Row_Index", F.row_number().over(by_date))
         .withColumn("recordsTotal", F.count(F.lit(1)).over(Window.partitionBy(SYMBOL)))
-        .withColumn("_page", F.floor((F.col("DT_Row_Index") - 1) / PAGE_ROWS))
+        .withColumn(
+            "_page", F.explode(F.when(overlap, F.array(page, page + 1)).otherwise(F.array(page)))
+        )
         .groupBy(SYMBOL, "recordsTotal", "_page")
         .agg(F.collect_list(F.struct("DT_Row_Index", *cells)).alias("data"))
         .withColumn(
@@ -313,13 +353,18 @@ def _land_pages(spark, folder, gaps: bool = False) -> str:
                 "recordsTotal": F.when(number % 11 != 5, F.col("recordsTotal")),
             }
         )
+    return answers.select(SYMBOL, "recordsTotal", "data")
+
+
+def _land_pages(spark, folder, gaps: bool = False) -> str:
     path = fresh_path(spark, "landing")
-    answers.select(SYMBOL, "recordsTotal", "data").write.json(path)
+    _answers(spark, folder, gaps).write.json(path)
     return path
 
 
 def page_explode(spark, folder):
-    rows = pages.explode_pages(pages.read_pages(spark, _land_pages(spark, folder)).distinct())
+    landed = pages.read_pages(spark, _land_pages(spark, folder))
+    rows = pages.explode_pages(landed.dropDuplicates([SYMBOL, "recordsTotal", "data"]))
     return rows.drop("status").transform(clean.nonfinite_to_null)
 
 
@@ -328,10 +373,45 @@ def page_completeness(spark, folder):
     return pages.page_completeness(pages.read_pages(spark, landing))
 
 
+def page_quarantine(spark, folder):
+    """Lines set aside, per reason, of pages of which some are cut short and some hold a close
+    that is not a number."""
+    number = F.substring(SYMBOL, 2, 20).cast("bigint")
+    spoilt = F.transform(
+        "data",
+        lambda row: row.withField(
+            "close",
+            F.when(
+                (number % 20 == 8) & row["published_date"].endswith("-18"), F.lit("12.5x")
+            ).otherwise(row["close"].cast("string")),
+        ),
+    )
+    text = F.to_json(F.struct(SYMBOL, "recordsTotal", "data"))
+    lines = _answers(spark, folder).withColumn("data", spoilt).select(SYMBOL, text.alias("json"))
+    cut = F.expr("left(json, length(json) - 2)")
+    path = fresh_path(spark, "landing")
+    whole = F.when(number % 13 == 4, cut).otherwise(F.col("json"))
+    lines.select(whole.alias("value")).write.text(path)
+    lost = pages.quarantine(pages.parse_pages(pages.read_pages(spark, path)))
+    return lost.distinct().groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
+
+
 def stream_page_load(spark, folder):
     staged, progress = fresh_path(spark, "staged"), fresh_path(spark, "progress")
     page_load.load_pages(spark, _land_pages(spark, folder), staged, progress)
-    rows = page_load.finalise(spark, staged, fresh_path(spark, "final"), progress)
+    rows = page_load.finalise(spark, staged, fresh_path(spark, "final"))
+    return rows.drop("status").transform(clean.nonfinite_to_null)
+
+
+def two_page_cycles(spark, folder):
+    """Two landings, each loaded and published; the second brings some pages again."""
+    names = ("landing", "staged", "progress", "final")
+    landing, staged, progress, final = (fresh_path(spark, name) for name in names)
+    number = F.substring(SYMBOL, 2, 20).cast("bigint")
+    for part in (number % 2 == 0, (number % 2 == 1) | (number % 3 == 0)):
+        _answers(spark, folder).where(part).write.mode("append").json(landing)
+        page_load.load_pages(spark, landing, staged, progress)
+        rows = page_load.finalise(spark, staged, final)
     return rows.drop("status").transform(clean.nonfinite_to_null)
 
 
@@ -368,11 +448,15 @@ QUERIES: dict[str, Query] = {
     "stratified_split": stratified_split,
     "split_by_date": split_by_date,
     "forest_report": forest_report,
+    "forest_checks": forest_checks,
     "table_scan": table_scan,
     "named_dataset_roundtrip": named_dataset_roundtrip,
     "merged_csv_roundtrip": merged_csv_roundtrip,
     "scan_company_files": scan_files,
     "page_explode": page_explode,
+    "file_audit": file_audit,
     "page_completeness": page_completeness,
+    "page_quarantine": page_quarantine,
+    "two_page_cycles": two_page_cycles,
     "stream_page_load": stream_page_load,
 }

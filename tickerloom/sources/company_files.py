@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -13,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import (
-    MISSING_TEXTS,
     clean_name_column,
     is_missing_text,
     number_from_text,
@@ -135,16 +133,6 @@ def _headers(lines: DataFrame, wanted: Sequence[str], symbol_pattern: str) -> Da
     )
 
 
-# A number as the double cast reads it, without the type letters Java allows after it.
-_NUMBER = r"[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:[+-]?inf(?:inity)?)"
-_FIELD = rf" *(?:{_NUMBER}|{'|'.join(map(re.escape, MISSING_TEXTS))}) *"
-
-
-def _unreadable(texts: list[Column]) -> Column:
-    """Whether one of the texts is neither a number nor "missing"."""
-    return ~F.concat_ws("\n", *texts).rlike(rf"^{_FIELD}(?:\n{_FIELD})*$")
-
-
 def scan_company_files(
     spark: SparkSession,
     folder: str,
@@ -159,7 +147,7 @@ def scan_company_files(
     joined without a hint: Spark knows its stored size and broadcasts it only when it is small.
 
     A line is set aside when its file has no header or two different ones, when it has more
-    fields than the header, or when a numeric field holds other text. Unknown columns are dropped
+    fields than the header, or when a numeric field holds other text or a number out of range. Unknown columns are dropped
     unless named in ``extra_columns`` (kept as text). Line breaks inside quotes are not supported.
     """
     wanted = [*PAGE_FIELDS, *extra_columns]
@@ -191,9 +179,11 @@ def scan_company_files(
     # is parsed once.
     read = cells.select(F.inline(F.array(F.struct(*cells.columns, *values))))
 
-    # Rows with all numbers, nearly all rows, skip the look at the texts.
-    gap = reduce(or_, [F.col(name).isNull() for name in NUMERIC_FIELDS])
-    unreadable = gap & _unreadable([texts[name] for name in NUMERIC_FIELDS])
+    # Only a NULL looks at its text, so rows with all numbers, nearly all rows, skip it.
+    unreadable = reduce(
+        or_,
+        [F.col(name).isNull() & ~is_missing_text(texts[name]) for name in NUMERIC_FIELDS],
+    )
     reason = (
         F.when(F.col("_width").isNull(), "no header")
         .when(F.col("_header") != F.col("_other_header"), "two headers")

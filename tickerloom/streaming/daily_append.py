@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import unseen_rows
+from ..operators.joins import undated_rows, unseen_rows
 from ..schema import DATE, SYMBOL
 
 YEAR = "year"
@@ -20,12 +20,14 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def append_batch(spark: SparkSession, history: str, batch: DataFrame) -> None:
+def append_batch(spark: SparkSession, history: str, batch: DataFrame, number: int = 0) -> None:
     """Append the rows of a batch whose (symbol, day) the history lacks. Running it again with the
-    same batch adds nothing, so a replayed micro-batch is harmless. Rows need a symbol and a day;
-    those without cannot be told new from old and are left out."""
-    dated = batch.dropna(subset=[SYMBOL, DATE]).persist()
+    same batch adds nothing, so a replayed micro-batch is harmless. Rows without a symbol or a day
+    go to ``<history>_quarantine/batch=<number>``, replacing what an earlier run left there."""
+    batch = batch.persist()
     try:
+        undated_rows(batch).write.mode("overwrite").parquet(f"{history}_quarantine/batch={number}")
+        dated = batch.dropna(subset=[SYMBOL, DATE])
         span = dated.agg(F.min(DATE).alias("first"), F.max(DATE).alias("last")).first()
         if span["first"] is None:
             return
@@ -34,7 +36,7 @@ def append_batch(spark: SparkSession, history: str, batch: DataFrame) -> None:
         )
         write_history(unseen_rows(stored.drop(YEAR), dated), history, "append")
     finally:
-        dated.unpersist()
+        batch.unpersist()
 
 
 def stream_daily_append(
@@ -44,7 +46,7 @@ def stream_daily_append(
     the test is against the stored rows and not against a watermark."""
     query = (
         incoming.writeStream.foreachBatch(
-            lambda batch, _: append_batch(batch.sparkSession, history, batch)
+            lambda batch, number: append_batch(batch.sparkSession, history, batch, number)
         )
         .option("checkpointLocation", progress)
         .trigger(availableNow=True)

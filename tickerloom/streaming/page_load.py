@@ -2,40 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.errors import StreamingQueryException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ..operators.clean import dedupe_rows
+from ..operators.joins import rows_not_in
 from ..schema import RAW_SCHEMA
 from ..session import delete_folder
-from ..sources.pages import explode_pages, stream_pages
+from ..sources.pages import PARSED_SCHEMA, parse_pages, quarantine, stream_pages, usable
+
+QUARANTINE_SCHEMA = "path string, line string, reason string"
 
 
 def _run(spark: SparkSession, landing: str, staged: str, progress: str) -> None:
+    def stage(batch: DataFrame, _: int) -> None:
+        parse_pages(batch).write.mode("append").parquet(staged)
+
     query = (
-        explode_pages(stream_pages(spark, landing))
-        .writeStream.format("parquet")
-        .outputMode("append")
+        stream_pages(spark, landing)
+        .writeStream.foreachBatch(stage)
         .option("checkpointLocation", progress)
         .trigger(availableNow=True)
-        .start(staged)
+        .start()
     )
     query.awaitTermination()
 
 
 def load_pages(spark: SparkSession, landing: str, staged: str, progress: str) -> None:
-    """Append the rows of all pages that landed since the last run, then stop.
+    """Stage the rows of all pages that landed since the last run, then stop.
 
     ``progress`` is the streaming checkpoint: a run that was killed goes on where it stopped. When
-    the checkpoint cannot be read, the staged rows and the checkpoint go and the load starts over;
-    the landing folder is never touched.
+    the checkpoint cannot be read, it alone goes, and the landed pages are read again; staged and
+    published rows stay. Rows may be staged twice; :func:`finalise` publishes them once.
     """
     try:
         _run(spark, landing, staged, progress)
     except StreamingQueryException as error:
         if not _unreadable_progress(error):
             raise
-        restart_load(spark, landing, staged, progress)
+        delete_folder(spark, progress)
+        _run(spark, landing, staged, progress)
 
 
 def _unreadable_progress(error: StreamingQueryException) -> bool:
@@ -45,24 +52,28 @@ def _unreadable_progress(error: StreamingQueryException) -> bool:
     return any(sign.lower() in text.lower() for sign in signs)
 
 
-def restart_load(spark: SparkSession, landing: str, staged: str, progress: str) -> None:
-    """Forget progress and staged rows, and load everything again."""
-    delete_folder(spark, progress)
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """A parquet folder, or no rows where it is absent."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def finalise(spark: SparkSession, staged: str, final: str) -> DataFrame:
+    """Publish the staged rows that ``final`` lacks, each once, and clear the stage. Unusable rows
+    go to ``<final>_quarantine`` in the same way. Published rows stay. A run that was killed can be
+    run again. No row order is stored: sort by date when reading."""
+    parsed = read_or_empty(spark, staged, PARSED_SCHEMA)
+    rejected = f"{final}_quarantine"
+    parts = [
+        (usable(parsed), final, RAW_SCHEMA),
+        (quarantine(parsed), rejected, QUARANTINE_SCHEMA),
+    ]
+    for rows, path, schema in parts:
+        published = read_or_empty(spark, path, schema)
+        rows_not_in(published, rows.transform(dedupe_rows)).write.mode("append").parquet(path)
     delete_folder(spark, staged)
-    _run(spark, landing, staged, progress)
-
-
-def finalise(
-    spark: SparkSession,
-    staged: str,
-    final: str,
-    progress: str | None = None,
-) -> DataFrame:
-    """Publish the staged rows without copies, replacing ``final``; with ``progress`` the partial
-    state goes afterwards. No row order is stored: sort by date when reading."""
-    rows = spark.read.schema(RAW_SCHEMA).parquet(staged)
-    rows.transform(dedupe_rows).write.mode("overwrite").parquet(final)
-    if progress is not None:
-        delete_folder(spark, progress)
-        delete_folder(spark, staged)
     return spark.read.schema(RAW_SCHEMA).parquet(final)
