@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import json
 import random
+from pathlib import Path
 
 import pytest
 
@@ -97,3 +99,28 @@ def test_stages_from_the_command_line(spark, companies, tmp_path):
         command_line.main([stage, *words])
     assert "macro avg" in command_line.main(["evaluate", *words])
     assert load_dataset(spark, f"{base}/tables", pipeline.TEST).count() == 65
+
+
+def test_landed_pages_join_the_flow(spark, companies, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    row = {"published_date": "2024-01-02", "open": "1", "high": "2", "low": "1", "close": "2"}
+    page = {"symbol": "NABIL", "recordsTotal": 1, "data": [row]}
+    (landing / "1.json").write_text(json.dumps(page) + "\n")
+    words = ["--folder", companies, "--base", str(tmp_path / "run"), "--landing", str(landing)]
+    assert command_line.main(["load", *words]).endswith("companies without a row")
+    chosen = command_line.settings(command_line.parser().parse_args(["ingest", *words]))
+    merged = pipeline.merge(spark, chosen)
+    assert merged.rows.count() == 12 * 29 + 1
+    assert merged.rows.where("symbol = 'NABIL'").first()["close"] == 2.0
+    pipeline.ingest(merged, chosen)
+    assert not Path(merged.path.removeprefix("file:")).exists()
+
+
+def test_a_database_is_only_read_in_parallel(tmp_path):
+    with pytest.raises(ValueError, match="needs url and partition"):
+        pipeline.HandOver(str(tmp_path), "jdbc", "jdbc:any")
+    words = ["--folder", "f", "--base", "b", "--hand-over", "jdbc", "--url", "jdbc:any"]
+    words += ["--partition", "published_date,2000-01-01,2030-01-01,40"]
+    over = command_line.settings(command_line.parser().parse_args(words)).hand_over
+    assert over.partition == ("published_date", "2000-01-01", "2030-01-01", 40)

@@ -12,8 +12,14 @@ from pyspark.sql import SparkSession
 
 from .operators import model
 from .plans import pipeline
+from .sources.company_files import FILE_STEM
 
-STAGES = ("all", "ingest", "preprocess", "train", "evaluate")
+STAGES = ("all", "load", "ingest", "preprocess", "train", "evaluate")
+
+
+def _partition(text: str) -> tuple[str, str, str, int]:
+    column, lower, upper, tasks = text.split(",")
+    return column, lower, upper, int(tasks)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -26,6 +32,19 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument(
         "--option", action="append", default=[], metavar="NAME=VALUE", help="database option"
     )
+    options.add_argument(
+        "--partition",
+        type=_partition,
+        metavar="COLUMN,LOWER,UPPER,TASKS",
+        help="how a database is read in parallel, for --hand-over jdbc",
+    )
+    options.add_argument("--landing", help="landed JSON pages to load first")
+    options.add_argument("--symbol-pattern", default=FILE_STEM, help="symbol in a file's path")
+    options.add_argument("--nested", action="store_true", help="look for files in subfolders too")
+    options.add_argument("--date-format", action="append", default=[], help="besides ISO dates")
+    options.add_argument("--seed", type=int, default=model.SEED)
+    options.add_argument("--test-percent", type=int, default=20)
+    options.add_argument("--title", default=pipeline.Settings.title, help="of the report")
     options.add_argument("--first-rows", type=int, help="use only the first rows of the panel")
     options.add_argument("--merged-csv", help="also write the merged panel as CSV")
     options.add_argument("--cutoff", help="test on days from this one on")
@@ -43,6 +62,7 @@ def settings(arguments: argparse.Namespace) -> pipeline.Settings:
             arguments.hand_over,
             arguments.url,
             dict(option.split("=", 1) for option in arguments.option),
+            arguments.partition,
         ),
         model_path=f"{base}/model",
         report_path=f"{base}/report",
@@ -51,6 +71,14 @@ def settings(arguments: argparse.Namespace) -> pipeline.Settings:
         trees=arguments.trees,
         depth=arguments.depth,
         cutoff=arguments.cutoff,
+        symbol_pattern=arguments.symbol_pattern,
+        nested=arguments.nested,
+        date_formats=arguments.date_format,
+        seed=arguments.seed,
+        test_percent=arguments.test_percent,
+        title=arguments.title,
+        landing=arguments.landing,
+        pages=f"{base}/pages",
     )
 
 
@@ -58,6 +86,8 @@ def main(words: list[str] | None = None) -> str | None:
     arguments = parser().parse_args(words)
     chosen = settings(arguments)
     spark = SparkSession.builder.appName("tickerloom").getOrCreate()
+    if arguments.stage == "load":
+        return f"{pipeline.load(spark, chosen).count()} companies without a row"
     if arguments.stage == "ingest":
         merged = pipeline.merge(spark, chosen)
         return None if merged is None else str(pipeline.ingest(merged, chosen))

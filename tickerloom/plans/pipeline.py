@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import is_missing
-from ..operators import clean, features, metrics, model, ordering, split
-from ..schema import DATE, SYMBOL, TARGET
+from ..operators import clean, features, joins, metrics, model, ordering, split
+from ..schema import DATE, RAW_SCHEMA, SYMBOL, TARGET
 from ..session import delete_folder, materialise, store
+from ..sources.companies import companies
 from ..sources.company_files import FILE_STEM, scan_company_files
 from ..sources.tables import (
     load_dataset,
@@ -22,17 +23,24 @@ from ..sources.tables import (
     write_jdbc,
     write_table,
 )
+from ..streaming import page_load
 
 
 @dataclass(frozen=True)
 class HandOver:
     """Where one stage leaves its table for the next: ``dataset`` (parquet below ``base``),
-    ``table`` (catalog) or ``jdbc`` (``url`` and ``options``)."""
+    ``table`` (catalog) or ``jdbc`` (``url`` and ``options``). A database is read in parallel, so
+    it needs ``partition``: a column all its tables have, its bounds and the number of tasks."""
 
     base: str
     kind: str = "dataset"
     url: str | None = None
     options: dict[str, str] = field(default_factory=dict)
+    partition: tuple[str, str, str, int] | None = None
+
+    def __post_init__(self) -> None:
+        if self.kind == "jdbc" and (self.url is None or self.partition is None):
+            raise ValueError("a jdbc hand-over needs url and partition (column, lower, upper, tasks)")
 
     def save(self, df: DataFrame, name: str) -> None:
         if self.kind == "table":
@@ -46,7 +54,7 @@ class HandOver:
         if self.kind == "table":
             return read_table(spark, name)
         if self.kind == "jdbc":
-            return read_jdbc(spark, self.url, name, self.options)
+            return read_jdbc(spark, self.url, name, self.options, self.partition)
         return load_dataset(spark, self.base, name)
 
 
@@ -67,6 +75,8 @@ class Settings:
     test_percent: int = 20
     cutoff: str | None = None  # split by date instead of by class
     title: str = "Model Evaluation Report"
+    landing: str | None = None  # landed pages, for the load stage
+    pages: str | None = None  # where the load stage publishes their rows, for the merge
 
 
 RAW, PROCESSED, TEST, REPORT = "prices_raw", "prices_processed", "prices_test", "report"
@@ -81,28 +91,53 @@ def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(watch, F.count(F.lit(1)).alias("row_count"), *gaps), watch
 
 
-def merge(spark: SparkSession, settings: Settings) -> DataFrame | None:
-    """Unique rows of all company files with parsed dates; None when no file has a row."""
+def load(spark: SparkSession, settings: Settings) -> DataFrame:
+    """Load and publish the pages that landed since the last run. Returns the companies of which
+    nothing is published yet."""
+    staged, progress = f"{settings.pages}_staged", f"{settings.pages}_progress"
+    page_load.load_pages(spark, settings.landing, staged, progress)
+    published = page_load.finalise(spark, staged, settings.pages)
+    return joins.pending_companies(companies(spark), published)
+
+
+@dataclass(frozen=True)
+class Merged:
+    """The merged rows, stored once for all their readers."""
+
+    rows: DataFrame
+    path: str
+
+
+def merge(spark: SparkSession, settings: Settings) -> Merged | None:
+    """Unique rows of all company files and published pages with parsed dates; None when there is
+    no row. ``ingest`` deletes what is stored here."""
     rows = scan_company_files(
         spark, settings.folder, settings.symbol_pattern, settings.nested
     ).rows()
-    if rows.isEmpty():
-        return None
+    if settings.pages is not None:
+        published = page_load.read_or_empty(spark, settings.pages, RAW_SCHEMA)
+        rows = joins.union_by_name([rows, published])
     merged = rows.transform(clean.dedupe_rows).transform(
         clean.parse_dates, settings.date_formats
     )
+    path = store(merged, "merged")
+    stored = spark.read.schema(merged.schema).parquet(path)
+    if stored.isEmpty():
+        delete_folder(spark, path)
+        return None
     if settings.merged_csv is not None:
-        write_csv(ordering.sorted_panel(merged), settings.merged_csv)
-    return merged
+        write_csv(ordering.sorted_panel(stored), settings.merged_csv)
+    return Merged(stored, path)
 
 
-def ingest(merged: DataFrame, settings: Settings) -> dict[str, int]:
+def ingest(merged: Merged, settings: Settings) -> dict[str, int]:
     """Store the merged rows without non-finite values; returns row and gap counts."""
-    rows = merged.transform(clean.nonfinite_to_null)
+    rows = merged.rows.transform(clean.nonfinite_to_null)
     if settings.first_rows is not None:
         rows = ordering.first_n(rows, settings.first_rows)
     rows, watch = _observed(rows, "ingested")
     settings.hand_over.save(rows, RAW)
+    delete_folder(rows.sparkSession, merged.path)
     return watch.get
 
 
@@ -159,8 +194,10 @@ def evaluate(spark: SparkSession, settings: Settings) -> str:
 
 
 def run(spark: SparkSession, settings: Settings) -> str | None:
-    """All stages in order. Returns the report, or None, with nothing written, when the folder has
+    """All stages in order, the load only where pages land. Returns the report, or None, with nothing written, when the folder has
     no rows."""
+    if settings.landing is not None:
+        load(spark, settings)
     merged = merge(spark, settings)
     if merged is None:
         return None
