@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 
 from ..schema import FEATURES, TARGET
 
-# Fixed values of the model; depth is Spark's to choose, as Spark allows no more than 30 levels.
+# Fixed values of the model.
 TREES = 100
 SEED = 42
+# Spark allows 30 levels. Every level is a pass over the rows for as many nodes as the memory below
+# holds, and trees are kept on the driver, so the default stops at up to 32,768 leaves a tree.
 DEPTH = 15
+BINS = 64  # candidate cuts a feature
+MEMORY_MB = 1024  # of a task, for the statistics of nodes split in one pass
 
 
 def train_forest(
@@ -30,6 +34,8 @@ def train_forest(
         impurity="gini",
         featureSubsetStrategy="sqrt",
         seed=seed,
+        maxBins=BINS,
+        maxMemoryInMB=MEMORY_MB,
         cacheNodeIds=True,
         checkpointInterval=10,
     )
