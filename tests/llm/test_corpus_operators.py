@@ -144,6 +144,26 @@ def test_lines_equal_brute_force(docs):
     assert found <= expected and len(found) >= 0.95 * len(expected)
 
 
+def test_middle_lines_of_large_buckets_are_compared(docs, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BLOCK_LINES", 700, raising=False)
+    rnd = random.Random(4)
+    word = lambda size: "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=size))
+    template = word(160)
+    lines = [template + word(26) for _ in range(2000)]  # about 0.75 similar to one another
+    lines += [line[:-9] + word(9) for line in lines[:150]]  # about 0.9
+    sets = [set(line_dedup.shingle_set(line.encode()).tolist()) for line in lines]
+    near = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    planted = [(n, 2000 + n) for n in range(150)]
+    assert all(near(*pair) for pair in planted)
+    sampled = [(rnd.randrange(2000), rnd.randrange(2000)) for _ in range(20_000)]
+    assert not any(near(a, b) for a, b in sampled if a != b)
+    signatures = line_dedup.band_hashes([line.encode() for line in lines])
+    assert max(np.unique(signatures, return_counts=True)[1]) > 1000
+    expected = {b for a, b in planted if (signatures[a] == signatures[b]).any()}
+    found = {r["doc_id"] for r in line_dedup.duplicate_lines(docs(list(enumerate(lines)))).collect()}
+    assert found == expected and len(expected) >= 145
+
+
 # near join
 
 

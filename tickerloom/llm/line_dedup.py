@@ -22,6 +22,7 @@ from .components import BITMAP_BITS, bitmap_of, connected_components, is_set
 SIMILARITY = 0.8
 SHINGLE = 8  # bytes
 BANDS, ROWS = 10, 4  # finds a pair of similarity 0.8 with probability 0.995
+BLOCK_LINES, BLOCK_BYTES = 2048, 1 << 20  # of a block of a bucket; two blocks are held at once
 _BINS = BANDS * ROWS
 _CHUNK = 1 << 18  # bytes hashed at once
 _SLICE = 256  # texts held as lines at once
@@ -226,9 +227,9 @@ def _values(rows: DataFrame, bitmap: bytes) -> DataFrame:
     )
 
 
-def _candidates(occurrences: DataFrame) -> DataFrame:
-    """``a, b``: each line of a band bucket with the bucket's least and its greatest line, by the
-    first 8 bytes of the digests. A bucket of n lines gives 2 n pairs at most, never all pairs."""
+def _buckets(occurrences: DataFrame) -> DataFrame:
+    """``band, short, low, high, size``: the lines of each band bucket of two lines or more, with the
+    bucket's least and its greatest line, by the first 8 bytes of the digests."""
     keyed = occurrences.where(F.size("bands") > 0).select(
         F.col("short"), F.explode("bands").alias("band")
     )
@@ -236,19 +237,160 @@ def _candidates(occurrences: DataFrame) -> DataFrame:
     keyed = keyed.repartition(F.col("band"))
     hubs = (
         keyed.groupBy("band")
-        .agg(F.min("short").alias("low"), F.max("short").alias("high"))
+        .agg(F.min("short").alias("low"), F.max("short").alias("high"), F.count(F.lit(1)).alias("size"))
         .where("low < high")
     )
-    linked = keyed.join(hubs, "band")
+    return keyed.join(hubs, "band")
+
+
+def _candidates(buckets: DataFrame) -> DataFrame:
+    """``a, b``: each line of a bucket with the two hubs. A bucket of n lines gives 2 n pairs at most;
+    :func:`_rest` compares the others."""
     hub: Column = F.explode(F.array("low", "high")).alias("hub")
     return (
-        linked.select("short", hub)
+        buckets.select("short", hub)
         .where("short <> hub")
         .select(F.least("short", "hub").alias("a"), F.greatest("short", "hub").alias("b"))
         .distinct()
     )
 
 
+def _joined(members: list[tuple], similarity: float) -> list[tuple[bytes, bytes]]:
+    """Pairs of roots that similar lines join; ``members`` are (block, root, line) of two blocks, of
+    which pairs across are compared, or of one.
+
+    Shingles are ordered by how many lines have them, rarest first. Of two similar lines the longer
+    one's first shingles and the shorter one's hold a common one, so only those are looked up.
+    """
+    sets = [shingle_set(line) for _, _, line in members]
+    order = sorted(range(len(sets)), key=lambda n: len(sets[n]))
+    sets = [sets[n] for n in order]
+    size = np.array([len(one) for one in sets])
+    block = np.array([members[n][0] for n in order])
+    across = block.min() != block.max()
+    names = sorted({members[n][1] for n in order})
+    number = {name: n for n, name in enumerate(names)}
+    component = np.array([number[members[n][1]] for n in order])
+    column, amount = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)[1:]
+    rank = np.empty(len(amount), np.int64)
+    rank[np.argsort(amount, kind="stable")] = np.arange(len(amount))
+    ends = np.cumsum(size)
+    owner = np.repeat(np.arange(len(sets)), size)
+    ranked = rank[column]
+    ranked = ranked[np.lexsort((ranked, owner))]
+    place = np.arange(len(ranked)) - np.repeat(ends - size, size)
+    # A line shares this much at least with a line as long or longer, or with a shorter one.
+    longer = np.ceil(2 * similarity / (1 + similarity) * size - 1e-6).astype(np.int64)
+    shorter = np.ceil(similarity * size - 1e-6).astype(np.int64)
+    listed = place <= (size - longer)[owner]
+    by_rank = np.argsort(ranked[listed], kind="stable")  # lines ascend within a shingle
+    index_rank, index_line = ranked[listed][by_rank], owner[listed][by_rank]
+    marked = np.zeros(len(amount), bool)
+    found = []
+    for line in range(1, len(sets)):
+        start = ends[line] - size[line]
+        wanted = ranked[start : start + size[line] - shorter[line] + 1]
+        lows, highs = np.searchsorted(index_rank, wanted), np.searchsorted(index_rank, wanted, "right")
+        parts = [index_line[low:high] for low, high in zip(lows, highs, strict=True) if low < high]
+        if not parts:
+            continue
+        near = np.unique(np.concatenate(parts))
+        near = near[(near < line) & (size[near] >= similarity * size[line] - 1e-6) & (component[near] != component[line])]
+        if across:
+            near = near[block[near] != block[line]]
+        if not len(near):
+            continue
+        own = ranked[start : ends[line]]
+        marked[own] = True
+        for other in near.tolist():
+            if component[other] == component[line]:
+                continue
+            both = int(np.count_nonzero(marked[ranked[ends[other] - size[other] : ends[other]]]))
+            if both / (size[other] + size[line] - both) >= similarity:
+                found.append((names[component[other]], names[component[line]]))
+                component[component == component[other]] = component[line]
+        marked[own] = False
+    return found
+
+
+def _joining(similarity: float):
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Edges of groups that come one after the other."""
+        current, members = None, []
+
+        def edges() -> pa.RecordBatch:
+            pairs = _joined(members, similarity) if len(members) > 1 else []
+            return pa.RecordBatch.from_arrays(
+                [pa.array([pair[side] for pair in pairs], pa.binary()) for side in (0, 1)], ["a", "b"]
+            )
+
+        for batch in batches:
+            for row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                if row[:3] != current:
+                    if members:
+                        yield edges()
+                    current, members = row[:3], []
+                members.append(row[3:])
+        if members:
+            yield edges()
+
+    return compare
+
+
+def _rest(buckets: DataFrame, values: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """``a, b``: pairs of roots joined by similar lines of one bucket that are not hubs.
+
+    Lines of one component need no comparison, so only buckets of several components are left; of
+    three lines all pairs are done. All pairs of such a bucket are compared, by pairs of blocks: no
+    task holds more than two blocks, and at most one edge a line and group is written. Buckets of the
+    same lines are compared once.
+    """
+    lines = values.select("short", "digest", F.length("value").alias("bytes")).join(
+        roots.withColumnRenamed("node", "digest"), "digest", "left"
+    )
+    lines = lines.withColumn("root", F.coalesce("root", "digest"))
+    members = materialise(
+        buckets.where("size > 3").select("band", "short").distinct().join(lines, "short").drop("short"), "members"
+    )
+    open_ = (
+        members.groupBy("band")
+        .agg(
+            F.min("root").alias("low"),
+            F.max("root").alias("high"),
+            F.count(F.lit(1)).alias("size"),
+            F.sum("bytes").alias("bytes"),
+            F.sum(F.xxhash64("digest").cast("decimal(38,0)")).alias("sum"),
+            F.bit_xor(F.xxhash64("digest", F.lit(7))).alias("xor"),
+        )
+        .where("low < high and size > 3")
+        .groupBy("size", "bytes", "sum", "xor")
+        .agg(F.min("band").alias("band"))
+    )
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK_LINES, F.col("bytes") / BLOCK_BYTES))
+    dealt = (
+        members.drop("bytes")
+        .join(open_.select("band", blocks.alias("blocks")), "band")
+        .withColumn("block", F.pmod(F.xxhash64("digest", F.lit(3)), "blocks"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .select(
+            "band",
+            F.least("block", "other").alias("low"),
+            F.greatest("block", "other").alias("high"),
+            "block",
+            "root",
+            "digest",
+        )
+        .join(values.select("digest", "value"), "digest")
+        .select("band", "low", "high", "block", "root", "value")
+    )
+    key = ["band", "low", "high"]
+    return (
+        dealt.repartition(*[F.col(name) for name in key])
+        .sortWithinPartitions(*key)
+        .mapInArrow(_joining(similarity), "a binary, b binary")
+    )
+
+
 def duplicate_lines(docs: DataFrame, ident: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id, removed``: the numbers, from 0 and ascending, of the lines of a document that are
     near copies of an earlier line; documents that keep all their lines are left out.
@@ -268,7 +410,8 @@ def duplicate_lines(docs: DataFrame, ident: str = "doc_id", text: str = "text",
         rows.mapInArrow(_occurrences, "doc_id long, line int, digest binary, short long, bands array<long>"),
         "lines",
     )
-    pairs = materialise(_candidates(occurrences), "pairs")
+    buckets = materialise(_buckets(occurrences), "buckets")
+    pairs = materialise(_candidates(buckets), "pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("short"))
     bits = ends.select(F.pmod("short", F.lit(BITMAP_BITS)).alias("bit"))
     values = materialise(
@@ -283,6 +426,9 @@ def duplicate_lines(docs: DataFrame, ident: str = "doc_id", text: str = "text",
         .mapInArrow(_similar(similarity), "a binary, b binary")
     )
     roots = connected_components(verified)
+    # Components joined by the pairs of a bucket without a hub.
+    further = connected_components(_rest(buckets, values, roots, similarity))
+    further = further.select(F.col("node").alias("root"), F.col("root").alias("further"))
     place = F.struct("doc_id", "line")
     firsts = occurrences.groupBy("digest").agg(
         F.min(place).alias("first"), F.count(F.lit(1)).alias("copies")
@@ -290,7 +436,8 @@ def duplicate_lines(docs: DataFrame, ident: str = "doc_id", text: str = "text",
     classes = firsts.join(roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn(
         "root", F.coalesce("root", "digest")
     )
-    classes = materialise(classes, "classes")
+    classes = classes.join(further, "root", "left").withColumn("root", F.coalesce("further", "root"))
+    classes = materialise(classes.drop("further"), "classes")
     kept = classes.groupBy("root").agg(
         F.min("first").alias("kept"), (F.sum("copies") > 1).alias("repeated")
     )
