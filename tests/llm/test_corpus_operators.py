@@ -416,6 +416,15 @@ def test_quotation_weighs_less_than_abuse():
     assert scorer.score("oron oron") == scorer.score("") == scorer.score(None) == 0.0
 
 
+def test_one_misspelled_term_is_enough():
+    lexicon = toxicity.Lexicon({"idiot": 0.9, "scum": 0.9, "disgusting": 0.9, "worthless": 0.9}, {"blarg": 0.9}, ["scam"])
+    scorer = toxicity.Scorer(lexicon)
+    for text in ("what an id1ot", "you are an idiott", "sc*m", "5cum there", "d1sgust1ng", "you w0rth1ess", "blarg" * 20):
+        assert scorer.score(text) >= toxicity.THRESHOLD, text
+    for text in ('the word "id1ot"', "he said id1ot", "a scam", "slum 4cam", "x" * 100):
+        assert scorer.score(text) < toxicity.THRESHOLD, text
+
+
 def test_lexicon_is_learned_without_the_words_of_copies(spark, docs):
     rows = [(n, " ".join(prose(n, 30))) for n in range(200)]
     toxic = [(1000 + n, " ".join([*prose(n, 15), "grumpf", *prose(n + 500, 15)])) for n in range(60)]

@@ -39,7 +39,9 @@ SEED = (
     "disgusting",
 )
 SEED_WEIGHT = 0.9
-EDIT_WEIGHT = (1.0, 0.25, 0.1)  # weight of a match by number of edits
+# Weight of a match by number of edits: a misspelled term of weight 0.86 or more reaches ``THRESHOLD``
+# by itself in plain use, as a learned term's is 0.88 at least. Ordinary words near to a term are known.
+EDIT_WEIGHT = (1.0, 0.4, 0.35)
 CONTEXT_WORDS = 6
 QUOTED, REPORTED, QUOTED_AND_REPORTED, ADDRESSED = 0.3, 0.6, 0.1, 1.2
 REPORTING = frozenset(
@@ -82,6 +84,13 @@ class Lexicon:
                 node = following
             self._most[node] = max(self._most[node], edits)
             self._entry[node] = term
+        # Short terms have too many neighbours; only a digit or sign may stand for one of their letters.
+        self._masked = {
+            term[:at] + "\0" + term[at + 1 :]: term
+            for term in sorted(terms, reverse=True)
+            if len(term) == 4
+            for at in range(4)
+        }
         self._letters = {letter for node in self._children for letter in node}
         self._stem_sizes = sorted({len(stem) for stem in stems})
         self._make()
@@ -161,10 +170,23 @@ class Lexicon:
             weight = self.stems.get(token[:size])
             if weight is not None:
                 return weight
-        if found and token not in self.known:
+        if token in self.known:
+            return 0.0
+        if found:
             return self.terms[found[0]] * EDIT_WEIGHT[found[1]]
+        if len(token) == 4:
+            term = self.masked(token)
+            if term is not None:
+                return self.terms[term] * EDIT_WEIGHT[1]
         return 0.0
 
+    def masked(self, token: str) -> str | None:
+        """The term of four letters of which the token has all but one, a digit or sign in its place."""
+        others = [at for at, letter in enumerate(token) if not letter.isalpha()]
+        if len(token) != 4 or len(others) != 1:
+            return None
+        return self._masked.get(token[: others[0]] + "\0" + token[others[0] + 1 :])
+
 
 _LAZY = ("_states", "_sets", "_moves", "_best")
 
@@ -184,9 +206,11 @@ class Scorer:
         for token in set(TOKEN.findall(small)):
             weight = weights.get(token)
             if weight is None:
-                if len(weights) >= _KEPT_TOKENS:
-                    weights.clear()
-                weight = weights[token] = self._lexicon.weight(token) if len(token) < 64 else 0.0
+                weight = self._lexicon.weight(token)
+                if len(token) < 64:  # longer ones are weighed anew each time
+                    if len(weights) >= _KEPT_TOKENS:
+                        weights.clear()
+                    weights[token] = weight
             found = found or weight > 0.0
         return self._in_context(small) if found else 0.0
 
@@ -198,7 +222,7 @@ class Scorer:
         for place, (token, at) in enumerate(tokens):
             weight = self._weights.get(token)
             if weight is None:
-                weight = self._lexicon.weight(token) if len(token) < 64 else 0.0
+                weight = self._lexicon.weight(token)
             if not weight:
                 continue
             while quote < len(quoted) and quoted[quote][1] <= at:
@@ -336,7 +360,7 @@ def learn_lexicon(
             if not any(word.startswith(stem) for stem in stems)
         }
     lexicon = Lexicon(terms, stems)
-    near = F.arrow_udf(lambda column: pa.array([lexicon.nearest(x or "") is not None for x in column.to_pylist()]), "boolean")
+    near = F.arrow_udf(lambda column: pa.array([(lexicon.nearest(x or "") or lexicon.masked(x or "")) is not None for x in column.to_pylist()]), "boolean")
     # Words clean rows of the sample use that happen to be near to a term.
     ordinary = words.where("clean > 0 and word <> ''").where(near(F.col("word"))).select("word")
     known = [row["word"] for row in ordinary.collect() if row["word"] not in terms]
