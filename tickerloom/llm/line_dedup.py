@@ -22,7 +22,7 @@ from .components import BITMAP_BITS, bitmap_of, connected_components, is_set
 SIMILARITY = 0.8
 SHINGLE = 8  # bytes
 BANDS, ROWS = 10, 4  # finds a pair of similarity 0.8 with probability 0.995
-BLOCK_LINES, BLOCK_BYTES = 2048, 1 << 20  # of a block of a bucket; two blocks are held at once
+BLOCK_LINES, BLOCK_BYTES = 512, 1 << 20  # of a block of a bucket; two blocks are held at once
 _BINS = BANDS * ROWS
 _CHUNK = 1 << 18  # bytes hashed at once
 _SLICE = 256  # texts held as lines at once
