@@ -440,3 +440,11 @@ def test_lexicon_is_learned_without_the_words_of_copies(spark, docs):
     assert {r["doc_id"] for r in scored if r["predicted"]} == {i for i, _ in toxic + copies}
     assert toxicity.learn_lexicon(frame, labels.limit(0)).terms == dict.fromkeys(toxicity.SEED, toxicity.SEED_WEIGHT)
     assert toxicity.toxicity_scores(docs([]), lexicon).collect() == []
+
+
+def test_terms_of_fixed_phrases_are_learned(spark, docs):
+    rows = [(n, " ".join(prose(n, 30))) for n in range(100)]
+    phrase = [(1000 + n, " ".join([*prose(n + 200, 15), "total", "snarf", *prose(n + 900, 15)])) for n in range(60)]
+    labels = spark.createDataFrame([(i, int(i >= 1000)) for i, _ in rows + phrase], "doc_id long, toxic int")
+    lexicon = toxicity.learn_lexicon(docs(rows + phrase), labels)
+    assert "snarf" in lexicon.terms  # always after the same word

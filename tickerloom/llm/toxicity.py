@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from tickerloom.session import materialise
 
+from . import near_join
+
 THRESHOLD = 0.3
 SAMPLE_ROWS = 10_000  # labelled rows of each class the lexicon is learned from
 LEXICON_TERMS = 400  # entries learned
@@ -268,30 +270,28 @@ def _sampled(docs: DataFrame, labels: DataFrame, ident: str, text: str, rows: in
     )
 
 
+def _one_of_each(sample: DataFrame) -> DataFrame:
+    """One row of each class of near copies in the sample and label, so that a text counts once for
+    its words however often it was copied, in toxic and clean rows alike."""
+    numbered = materialise(sample.withColumn("row", F.monotonically_increasing_id()), "sample")
+    classes = near_join.near_join(numbered, "row").select(F.col("doc_id").alias("row"), "class_id")
+    first = numbered.select("row", "toxic").join(classes, "row").groupBy("class_id", "toxic").agg(F.min("row").alias("row"))
+    return numbered.join(first.select("row"), "row", "left_semi").select("toxic", "text")
+
+
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows each word is in, by class, of one partition, under ``before = ""``; the word ``""``
-    counts the rows. Further rows name the different words that stand before a word in toxic rows."""
+    """Rows each word is in, by class, of one partition; the word ``""`` counts the rows."""
     counts: tuple[Counter, Counter] = (Counter(), Counter())
-    before: set[tuple[str, str]] = set()
     for batch in batches:
         for toxic, text in zip(*(column.to_pylist() for column in batch.columns), strict=True):
             tokens = TOKEN.findall((text or "").lower())
             counts[toxic].update({"", *(token for token in tokens if 2 < len(token) < 64)})
-            if toxic:
-                before.update(zip(tokens[1:], tokens[:-1], strict=True))
     words = list(counts[0].keys() | counts[1].keys())
-    pairs = [pair for pair in before if pair[0] in counts[1]]
-    none = [0] * len(pairs)
-    columns = (
-        [*words, *(word for word, _ in pairs)],
-        [*[""] * len(words), *(left for _, left in pairs)],
-        [*(counts[1][word] for word in words), *none],
-        [*(counts[0][word] for word in words), *none],
-    )
-    kinds = (pa.string(), pa.string(), pa.int64(), pa.int64())
+    columns = (words, [counts[1][word] for word in words], [counts[0][word] for word in words])
+    kinds = (pa.string(), pa.int64(), pa.int64())
     yield pa.RecordBatch.from_arrays(
         [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)],
-        ["word", "before", "toxic", "clean"],
+        ["word", "toxic", "clean"],
     )
 
 
@@ -307,22 +307,15 @@ def learn_lexicon(
 
     ``sample_rows`` of each class bound the fit, so the lexicon, at most ``LEXICON_TERMS`` entries,
     and the list of ordinary words near to a term, are bounded too and may be sent to every task.
-    A row that is copied many times would make telling words of all its rare words; so a word
-    counts only as often as different words stand before it.
+    A row that is copied many times would make telling words of all its rare words; so copies and
+    near copies of the sample (see :func:`near_join.near_join`) count once a class.
     Without labels, or rows that bear them, the lexicon is ``seed``.
     """
     words = materialise(
-        _sampled(docs, labels, ident, text, sample_rows)
-        .mapInArrow(_word_counts, "word string, before string, toxic long, clean long")
-        .groupBy("word", "before")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+        _one_of_each(_sampled(docs, labels, ident, text, sample_rows))
+        .mapInArrow(_word_counts, "word string, toxic long, clean long")
         .groupBy("word")
-        .agg(
-            F.sum("toxic").alias("rows"),
-            F.sum("clean").alias("clean"),
-            F.count_if(F.col("before") != "").alias("places"),
-        )
-        .withColumn("toxic", F.when(F.col("word") == "", F.col("rows")).otherwise(F.least("rows", "places"))),
+        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")),
         "words",
     )
     total = words.where("word = ''").first()
