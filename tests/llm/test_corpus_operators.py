@@ -448,3 +448,13 @@ def test_terms_of_fixed_phrases_are_learned(spark, docs):
     labels = spark.createDataFrame([(i, int(i >= 1000)) for i, _ in rows + phrase], "doc_id long, toxic int")
     lexicon = toxicity.learn_lexicon(docs(rows + phrase), labels)
     assert "snarf" in lexicon.terms  # always after the same word
+
+
+def test_clean_rows_take_a_seed_out(spark, docs):
+    clean = [(n, " ".join([*prose(n, 15), "trash", *prose(n + 300, 15)])) for n in range(60)]
+    toxic = [(1000 + n, " ".join([*prose(n + 600, 15), "moron", *prose(n + 900, 15)])) for n in range(20)]
+    labels = spark.createDataFrame([(i, int(i >= 1000)) for i, _ in clean + toxic], "doc_id long, toxic int")
+    lexicon = toxicity.learn_lexicon(docs(clean + toxic), labels)
+    assert "trash" not in lexicon.terms and lexicon.terms["moron"] > 0.9
+    scored = toxicity.toxicity_scores(docs(clean + toxic), lexicon).collect()
+    assert {r["doc_id"] for r in scored if r["predicted"]} == {i for i, _ in toxic}

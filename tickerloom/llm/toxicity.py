@@ -309,7 +309,9 @@ def learn_lexicon(
     and the list of ordinary words near to a term, are bounded too and may be sent to every task.
     A row that is copied many times would make telling words of all its rare words; so copies and
     near copies of the sample (see :func:`near_join.near_join`) count once a class.
-    Without labels, or rows that bear them, the lexicon is ``seed``.
+    Without labels of both classes, or rows that bear them, the lexicon is ``seed``. With them a seed is
+    weighed by the same counts as other words, but needs no number of toxic rows; clean rows take it
+    out as they do others.
     """
     words = materialise(
         _one_of_each(_sampled(docs, labels, ident, text, sample_rows))
@@ -322,6 +324,7 @@ def learn_lexicon(
     terms = dict.fromkeys(seed, SEED_WEIGHT)
     stems: dict[str, float] = {}
     if total is not None and total["toxic"] and total["clean"]:
+        seen = {row["word"]: row for row in words.where(F.col("word").isin(list(terms))).collect()}
         lift = (F.col("toxic") / total["toxic"]) / ((F.col("clean") + 0.5) / total["clean"])
         telling = (F.col("toxic") >= MIN_DOCUMENTS) & (lift >= MIN_LIFT) & (F.col("clean") * 20 <= F.col("toxic"))
         best = lambda rows, name: {
@@ -347,6 +350,9 @@ def learn_lexicon(
                 continue
             if not any(stem.startswith(other) for other in stems):
                 stems[stem] = weight(row)
+        unseen = {"toxic": 0, "clean": 0}
+        counted = {word: seen.get(word, unseen) for word in terms}
+        terms = {word: weight(row) for word, row in counted.items() if row["clean"] * 20 <= row["toxic"]}
         terms |= {
             word: weight(row)
             for word, row in single.items()
