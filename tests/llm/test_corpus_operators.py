@@ -240,6 +240,29 @@ def test_licences_follow_the_rules(docs):
     assert license_scan.licence_scan(docs([])).collect() == []
 
 
+GPL_NOTICE = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+
+
+@pytest.mark.parametrize("width", [0, 30, 60])
+def test_wrapped_and_commented_notices(docs, width):
+    import textwrap
+
+    notice = "\n\n".join(textwrap.fill(part, width) for part in GPL_NOTICE.split("\n\n")) if width else GPL_NOTICE
+    commented = "\n".join(f" * {line}" for line in notice.split("\n"))
+    rows = [(1, notice), (2, f"/*\n{commented}\n */\nint x;"), (3, notice.replace("\n", "\r\n")), (4, "All rights reserved for us.")]
+    found = sorted((r["doc_id"], r["sentence_ids"], r["licenses"]) for r in license_scan.licence_scan(docs(rows)).collect())
+    ids = ["GplLater", "GplWarranty", "GplSee"]
+    assert found == [*((n, ids, ["GPL-or-later"]) for n in (1, 2, 3)), (4, [], [])]
+
+
 # languages
 
 

@@ -1,6 +1,7 @@
 """Licence recognition by sentences, with built-in expressions only.
 
-A text is cut into sentences, each is normalised and looked up among known licence sentences. The
+A text is cut into pieces, the pieces are normalised, and runs of whole pieces that make up a known
+licence sentence are looked up: notices are wrapped and have stops inside their sentences. The
 identifiers found, in order, are then matched against ordered rules: a rule is a sequence of
 identifiers that follow each other; what a rule has matched, no later rule matches again.
 """
@@ -75,11 +76,19 @@ def _sequence(identifiers: tuple[str, ...]) -> str:
     return "".join(f"<{name}>" for name in identifiers)
 
 
-def normalised(sentence: Column) -> Column:
-    """Lower case, digits as 0, other characters than a-z and 0 as single blanks."""
-    small = F.translate(sentence, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def _marked(cut: Column) -> Column:
+    """Pieces in lower case, digits as 0, other characters than a-z and 0 as single blanks; a ``|``
+    before and after each piece. Pieces without letters and digits leave nothing."""
+    small = F.translate(cut, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     digits = F.regexp_replace(small, "[0-9]+", "0")
-    return F.trim(F.regexp_replace(digits, "[^a-z0]+", " "))
+    blanks = F.regexp_replace(digits, f"[^a-z0{END}]+", " ")
+    return F.regexp_replace(F.concat(F.lit(END), blanks, F.lit(END)), f" ?{END}[ {END}]*", "|")
+
+
+def _runs(sentences: dict[str, str]) -> str:
+    """A pattern of the known sentences, longest first, as runs of one or more whole pieces."""
+    longest = sorted(sentences, key=lambda sentence: (-len(sentence), sentence))
+    return r"(?<=\|)(?:" + "|".join(sentence.replace(" ", "[ |]") for sentence in longest) + r")(?=\|)"
 
 
 def _keywords(sentences: dict[str, str]) -> list[str]:
@@ -101,7 +110,7 @@ def licence_scan(
     """Add to each row ``sentence_ids`` (known sentences in order), ``licenses`` (sorted, distinct)
     and ``unmatched`` (known sentences no rule has matched).
 
-    Sentences end at ``ENDS``. Null and empty texts have empty lists and 0. Rows are scanned by themselves, so repeated rows stay; columns named as
+    Sentences begin and end at ``ENDS``, or at the ends of the text, and may hold more of them. Null and empty texts have empty lists and 0. Rows are scanned by themselves, so repeated rows stay; columns named as
     the results are replaced. No rows move between tasks, and the work of a text grows with its
     length only.
 
@@ -112,11 +121,10 @@ def licence_scan(
     cut = F.concat(value, F.lit("\n\n"))
     for pattern in ENDS:
         cut = F.regexp_replace(cut, pattern, END + "$1")
-    parts = F.split(cut, END)
-    candidates = F.filter(
-        F.transform(parts, normalised), lambda sentence: sentence.isin(list(sentences))
+    found = F.transform(
+        F.regexp_extract_all(_marked(cut), F.lit(_runs(sentences)), F.lit(0)),
+        lambda run: _known(sentences, F.translate(run, "|", " ")),
     )
-    found = F.transform(candidates, lambda sentence: _known(sentences, sentence))
     # Every known sentence has one of these words; most texts have none.
     keyword = value.rlike("(?i)" + "|".join(_keywords(sentences)))
     none = F.array().cast("array<string>")
