@@ -263,6 +263,40 @@ def test_wrapped_and_commented_notices(docs, width):
     assert found == [*((n, ids, ["GPL-or-later"]) for n in (1, 2, 3)), (4, [], [])]
 
 
+def test_more_licences_are_told_apart(docs):
+    bsd = (
+        "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the"
+        " following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this\n"
+        "   list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above"
+        " copyright notice,\n   this list of conditions and the following disclaimer in the documentation\n   and/or other"
+        " materials provided with the distribution.\n\n"
+    )
+    name = (
+        "3. Neither the name of {} nor the names of its\n   contributors may be used to endorse or promote products derived"
+        " from\n   this software without specific prior written permission.\n"
+    )
+    texts = {
+        "BSD-2-Clause": [bsd],
+        "BSD-3-Clause": [bsd + name.format("the copyright holder"), bsd + name.format("Example Inc.")],
+        "LGPL-or-later": [GPL_NOTICE.replace("program", "library").replace("GNU General", "GNU Lesser General").replace("version 3", "version 2.1")],
+        "AGPL-or-later": [GPL_NOTICE.replace("GNU General", "GNU Affero General")],
+        "MPL": ["This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not"],
+        "ISC": [
+            "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted,"
+            " provided that the above\ncopyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS"
+        ],
+        "EPL": [
+            "This program and the accompanying materials are made\navailable under the terms of the Eclipse Public License 2.0\n"
+            "which is available at https://www.eclipse.org/legal/epl-2.0/\n\nSPDX-License-Identifier: EPL-2.0"
+        ],
+        "CC0": ["CC0 1.0 Universal\n\nStatement of Purpose"],
+        "Unlicense": ["This is free and unencumbered software released into the public domain.\n\nAnyone is free"],
+    }
+    rows = [(n, text, licence) for n, (licence, text) in enumerate((k, v) for k, found in texts.items() for v in found)]
+    scanned = license_scan.licence_scan(docs([row[:2] for row in rows])).collect()
+    assert {r["doc_id"]: (r["licenses"], r["unmatched"]) for r in scanned} == {n: ([licence], 0) for n, _, licence in rows}
+
+
 # languages
 
 

@@ -46,17 +46,64 @@ SENTENCES = {
     " conditions and the following disclaimer in the documentation and or other materials provided"
     " with the distribution": "BsdBinary",
     "all rights reserved": "AllRights",
+    "this source code form is subject to the terms of the mozilla public license v 0 0": "Mpl",
+    "this program and the accompanying materials are made available under the terms of the eclipse"
+    " public license 0 0 which is available at https www eclipse org legal epl 0 0": "Epl",
+    "this program and the accompanying materials are made available under the terms of the eclipse"
+    " public license v0 0 which accompanies this distribution and is available at http www eclipse org"
+    " legal epl v0 html": "Epl",
+    "to the extent possible under law the author s have dedicated all copyright and related and"
+    " neighboring rights to this software to the public domain worldwide": "Cc0",
+    "cc0 0 0 universal": "Cc0",
+    "this is free and unencumbered software released into the public domain": "Unlicense",
 }
+_ENDORSE = (
+    " may be used to endorse or promote products derived from this software without specific prior"
+    " written permission"
+)
+SENTENCES |= {
+    f"{start}nor the names of its contributors{_ENDORSE}": "BsdName"
+    for start in ("", *(f"neither the name of the {holder} " for holder in ("copyright holder", "copyright holders", "university")))
+}
+SENTENCES |= {
+    f"permission to use copy modify and {alternative}distribute this software for any purpose with or without fee is"
+    " hereby granted provided that the above copyright notice and this permission notice appear in all"
+    " copies": "IscGrant"
+    for alternative in ("", "or ")
+}
+for _kind, _name in (("Lgpl", "lesser"), ("Agpl", "affero")):
+    SENTENCES |= {
+        f"this {work} is free software you can redistribute it and or modify it under the terms of the"
+        f" gnu {_name} general public license as published by the free software foundation either"
+        f" version {version} of the license or at your option any later version": f"{_kind}Later"
+        for work in ("program", "library")
+        for version in ("0", "0 0")
+    }
+    SENTENCES[f"see the gnu {_name} general public license for more details"] = f"{_kind}See"
+SENTENCES[
+    "this library is distributed in the hope that it will be useful but without any warranty without"
+    " even the implied warranty of merchantability or fitness for a particular purpose"
+] = "GplWarranty"
 
 # Rules in the order they are tried, longer sequences first.
 RULES = (
+    ("BSD-3-Clause", ("BsdGrant", "BsdSource", "BsdBinary", "BsdName")),
+    ("LGPL-or-later", ("LgplLater", "GplWarranty", "LgplSee")),
+    ("AGPL-or-later", ("AgplLater", "GplWarranty", "AgplSee")),
     ("BSD-2-Clause", ("BsdGrant", "BsdSource", "BsdBinary")),
     ("GPL-or-later", ("GplLater", "GplWarranty", "GplSee")),
     ("Apache", ("ApacheNamed", "ApacheUse", "ApacheCopy", "ApacheSee")),
     ("MIT", ("MitGrant", "MitNotice")),
     ("Apache", ("ApacheNamed", "ApacheUse")),
     ("GPL-or-later", ("GplLater",)),
+    ("LGPL-or-later", ("LgplLater",)),
+    ("AGPL-or-later", ("AgplLater",)),
     ("MIT", ("MitGrant",)),
+    ("ISC", ("IscGrant",)),
+    ("MPL", ("Mpl",)),
+    ("EPL", ("Epl",)),
+    ("CC0", ("Cc0",)),
+    ("Unlicense", ("Unlicense",)),
     ("MIT", ("Mit",)),
     ("Apache", ("Apache",)),
     ("Apache", ("ApacheNamed",)),
