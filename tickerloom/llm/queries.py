@@ -11,7 +11,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, license_scan, line_dedup, near_join, packing, subword_lm, token_counts, toxicity, vector_search
+from . import (
+    decontamination,
+    language_id,
+    license_scan,
+    line_dedup,
+    near_join,
+    packing,
+    periodic_runs,
+    subword_lm,
+    token_counts,
+    toxicity,
+    vector_search,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -216,3 +228,98 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
     scored = toxicity.toxicity_scores(docs, lexicon)
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def _crc32(value: str) -> str:
+    """CRC-32 of an ASCII text in SQL, bit by bit."""
+    step = "lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384::ubigint) else c >> 1 end"
+    bits = "cast(range(8) as ubigint[])"
+    letters = f"list_transform(string_split(cast({value} as varchar), ''), lambda l: cast(ord(l) as ubigint))"
+    return (
+        f"cast(xor(list_reduce({letters}, lambda a, b: list_reduce({bits}, {step}, xor(a, b)), "
+        f"4294967295::ubigint), 4294967295::ubigint) as bigint)"
+    )
+
+
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """Texts of the ids whose CRC-32 ends in 0 repeat a stretch of their words up to their end."""
+    return (
+        docs.withColumn("h", F.crc32(F.col("doc_id").cast("string")))
+        .withColumn("w", F.expr(r"if(h % 10 = 0, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0), null)"))
+        .withColumn("n", F.expr("size(w)"))
+        .withColumn("a", F.expr("if(n > 0, (h div 10) % n, null)"))
+        .withColumn("p", F.expr("1 + (n - a) div (3 + (h div 10) % 8)"))
+        .withColumn(
+            "text",
+            F.expr(
+                "if(a is null, text, array_join(transform(sequence(0, n - 1), "
+                "i -> w[int(if(i < a, i, a + (i - a) % p))]), ' '))"
+            ),
+        )
+        .select("doc_id", "text")
+    )
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _with_periods(table(spark, folder, "documents").select("doc_id", "text"))
+    found = periodic_runs.periodic_runs(docs)
+    longest = F.expr("array_min(transform(runs, r -> struct(-r.length as l, r.start as s, r.period as p)))")
+    listed = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), '')")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        longest.alias("longest"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    ).select(
+        "doc_id",
+        "n_runs",
+        F.col("longest.s").alias("start"),
+        (-F.col("longest.l")).alias("length"),
+        F.col("longest.p").alias("period"),
+        F.expr("1000 * -longest.l div longest.p").alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
+ORACLES["op13_periodic_runs"] = rf"""
+with split as (
+  select doc_id, {_crc32("doc_id")} as h,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+), sizes as (
+  select *, len(w) as n, case when h % 10 = 0 and len(w) > 0 then (h // 10) % len(w) end as a from split
+), steps as (
+  select *, 1 + (n - a) // (3 + (h // 10) % 8) as p from sizes
+), texts as (
+  select doc_id, n, case when a is null then w else
+    list_transform(range(n), lambda i: w[1 + case when i < a then i else a + (i - a) % p end]) end as w
+  from steps
+), places as (
+  select doc_id, n, unnest(range(n)) as i, unnest(w) as word from texts
+), agree as (
+  select x.doc_id, y.i - x.i as p, x.i from places x join places y using (doc_id, word)
+  where y.i > x.i and 2 * (y.i - x.i) <= x.n
+), stretches as (
+  select doc_id, p, min(i) as start, count(*) as c
+  from (select *, i - row_number() over (partition by doc_id, p order by i) as island from agree)
+  group by doc_id, p, island
+), runs as (
+  select doc_id, start, c + p as length, min(p) as period
+  from stretches where c >= p and c + p >= 12 group by all
+), listed as (
+  select doc_id, count(*) as n_runs, arg_min([start, length, period], [-length, start, period]) as longest,
+    string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as runs
+  from runs group by doc_id
+), dropped as (
+  select distinct doc_id, unnest(range(start + period, start + length)) as i from runs
+), kept as (
+  select doc_id, string_agg(word, ' ' order by i) as collapsed
+  from places anti join dropped using (doc_id, i) group by doc_id
+)
+select doc_id, coalesce(n_runs, 0) as n_runs, longest[1] as start, longest[2] as length, longest[3] as period,
+  1000 * longest[2] // longest[3] as exponent_milli, sha256(coalesce(runs, '')) as runs_sha256,
+  sha256(coalesce(collapsed, '')) as collapsed_sha256
+from documents left join listed using (doc_id) left join kept using (doc_id)
+"""
