@@ -10,7 +10,7 @@ similar pair with a probability that is known, so runs are repeated until the ta
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +51,9 @@ def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[size]
 
 
-def shingle_hashes(texts: list[str | None], size: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+def shingle_hashes(
+    texts: list[str | None], size: int = WORDS, split: Callable[[str | None], list[bytes]] = words
+) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the shingles of all texts in order, and the number of shingles of each text. A
     text of fewer words than a shingle has, but not none, is one shingle."""
     parts, amounts = [np.zeros(0, np.uint64)], []
@@ -68,7 +70,7 @@ def shingle_hashes(texts: list[str | None], size: int = WORDS) -> tuple[np.ndarr
         chunk, counts, length = [], [], 0
 
     for text in texts:
-        found = words(text)
+        found = split(text)
         chunk += found
         counts.append(len(found))
         length += len(text or "")

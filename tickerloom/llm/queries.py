@@ -19,6 +19,7 @@ from . import (
     near_join,
     packing,
     periodic_runs,
+    sketch_dedup,
     subword_lm,
     token_counts,
     toxicity,
@@ -230,6 +231,40 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+@query
+def op12_sketch_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return sketch_dedup.near_copies(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+ORACLES["op12_sketch_dedup"] = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
+), sets as (
+  select doc_id, unnest(list_distinct(list_transform(range(1, greatest(len(w) - 3, 1) + 1),
+    lambda s: array_to_string(w[s:s + 3], ' ')))) as shingle
+  from words where len(w) > 0
+), sizes as (
+  select doc_id, count(*) as n from sets group by doc_id
+), common as (
+  select a.doc_id as a, b.doc_id as b, count(*) as n from sets a join sets b using (shingle)
+  where a.doc_id < b.doc_id group by all
+), pairs as (
+  select c.a, c.b from common c join sizes x on x.doc_id = c.a join sizes y on y.doc_id = c.b
+  where 100 * c.n >= 80 * (x.n + y.n - c.n)
+), edges as (
+  select a, b from pairs union all select b, a from pairs
+), reach (a, b) as (
+  select a, b from edges union select reach.a, edges.b from reach join edges on reach.b = edges.a
+), classes as (
+  select a as doc_id, least(a, min(b)) as component_id from reach group by a
+)
+select doc_id, coalesce(n, 0) as n_shingles, coalesce(component_id, doc_id) as component_id,
+  coalesce(component_id, doc_id) = doc_id as kept
+from documents left join sizes using (doc_id) left join classes using (doc_id)
+"""
+
+
 def _crc32(value: str) -> str:
     """CRC-32 of an ASCII text in SQL, bit by bit."""
     step = "lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384::ubigint) else c >> 1 end"
