@@ -19,6 +19,7 @@ from . import (
     near_join,
     packing,
     periodic_runs,
+    prefix_trie,
     sketch_dedup,
     subword_lm,
     token_counts,
@@ -231,6 +232,55 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def _crc32(value: str) -> str:
+    """CRC-32 of an ASCII text in SQL, bit by bit."""
+    step = "lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384::ubigint) else c >> 1 end"
+    bits = "cast(range(8) as ubigint[])"
+    letters = f"list_transform(string_split(cast({value} as varchar), ''), lambda l: cast(ord(l) as ubigint))"
+    return (
+        f"cast(xor(list_reduce({letters}, lambda a, b: list_reduce({bits}, {step}, xor(a, b)), "
+        f"4294967295::ubigint), 4294967295::ubigint) as bigint)"
+    )
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = prefix_trie.digested(table(spark, folder, "conversations"))
+    return prefix_trie.prefix_trie(*prefix_trie.with_shared_starts(turns)).drop("node", "parent")
+
+
+ORACLES["op11_prefix_trie"] = rf"""
+with own as (
+  select conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} order by turn nulls first,
+    md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) as l
+  from conversations where conv_id is not null group by conv_id
+), shared as (
+  select *, {_crc32("conv_id")} % 4 as h from own
+), rebuilt as (
+  select c.conv_id, list_concat(coalesce(b.l[1:c.h], []), c.l[c.h + 1:]) as l
+  from shared c left join own b on b.conv_id = c.conv_id - c.conv_id % 20
+), prefixes as (
+  select conv_id, len(l) as n, d, l[1:d] as p from (select *, unnest(range(len(l) + 1)) as d from rebuilt)
+), nodes as (
+  select p, d, min(conv_id) as conv_id, count(*) as n_convs,
+    string_agg(conv_id, ',' order by conv_id) filter (n = d) as ends from prefixes group by p, d
+), children as (
+  select p[1:d - 1] as p, count(*) as n_children from nodes where d > 0 group by all
+), valued as (
+  select nodes.*, coalesce(n_children, 0) as n_children, case when d = 0 then 0 else
+    (n_convs - 1) * len(regexp_extract_all(p[d].text, '[^\x20\x09-\x0D]+')) end as own
+  from nodes left join children using (p)
+), above as (
+  select p[1:a] as p, n_children, own from (select *, unnest(range(d + 1)) as a from valued)
+), sums as (
+  select p, count(*) filter (n_children = 0) as n_leaves, sum(own) as saved_tokens from above group by p
+)
+select v.conv_id, v.d as depth, u.conv_id as parent_conv_id, v.n_convs, v.n_children, n_leaves,
+  cast(saved_tokens as bigint) as saved_tokens, sha256(coalesce(v.ends, '')) as ends_sha256
+from valued v join sums on sums.p = v.p left join nodes u on v.d > 0 and u.p = v.p[1:v.d - 1]
+"""
+
+
 @query
 def op12_sketch_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return sketch_dedup.near_copies(table(spark, folder, "documents").select("doc_id", "text"))
@@ -265,17 +315,6 @@ from documents left join sizes using (doc_id) left join classes using (doc_id)
 """
 
 
-def _crc32(value: str) -> str:
-    """CRC-32 of an ASCII text in SQL, bit by bit."""
-    step = "lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384::ubigint) else c >> 1 end"
-    bits = "cast(range(8) as ubigint[])"
-    letters = f"list_transform(string_split(cast({value} as varchar), ''), lambda l: cast(ord(l) as ubigint))"
-    return (
-        f"cast(xor(list_reduce({letters}, lambda a, b: list_reduce({bits}, {step}, xor(a, b)), "
-        f"4294967295::ubigint), 4294967295::ubigint) as bigint)"
-    )
-
-
 def _with_periods(docs: DataFrame) -> DataFrame:
     """Texts of the ids whose CRC-32 ends in 0 repeat a stretch of their words up to their end."""
     return (
