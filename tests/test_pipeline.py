@@ -124,3 +124,16 @@ def test_a_database_is_only_read_in_parallel(tmp_path):
     words += ["--partition", "published_date,2000-01-01,2030-01-01,40"]
     over = command_line.settings(command_line.parser().parse_args(words)).hand_over
     assert over.partition == ("published_date", "2000-01-01", "2030-01-01", 40)
+
+
+def test_daily_rows_are_appended_and_merged(spark, companies, tmp_path):
+    incoming, history, kept = (str(tmp_path / name) for name in ("incoming", "history", "kept"))
+    chosen = settings(companies, tmp_path, incoming=incoming, history=history, kept=kept)
+    row = ("2024-03-01", 100.0, 130.0, 80.0, 90.0, 0.0, 10.0, 1000.0, 0, "S1")
+    day = spark.createDataFrame([row, row, (None, *row[1:])], pipeline.RAW_SCHEMA)
+    for expected in ([0], [0, 1]):
+        day.write.mode("append").parquet(incoming)
+        assert pipeline.append(spark, chosen) == expected
+        merged = pipeline.merge(spark, chosen)  # the second time no company file is read
+        assert merged.rows.where("published_date = '2024-03-01'").count() == 1
+        assert merged.rows.count() == 12 * 29 + 1

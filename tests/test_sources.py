@@ -47,7 +47,7 @@ def test_headers_may_differ(spark, folder):
     assert rows["C C+D"]["status"] == -1
     assert scan.quarantine().isEmpty()
     audit = scan.audit().collect()
-    assert len(audit) == 4 and sum(row["row_count"] > 0 for row in audit) == 3
+    assert len(audit) == 5 and sum(row["row_count"] > 0 for row in audit) == 3
 
 
 def test_bad_lines_are_set_aside(spark, folder):

@@ -14,7 +14,7 @@ from .operators import model
 from .plans import pipeline
 from .sources.company_files import FILE_STEM
 
-STAGES = ("all", "load", "ingest", "preprocess", "train", "evaluate")
+STAGES = ("all", "load", "append", "ingest", "preprocess", "train", "evaluate")
 
 
 def _partition(text: str) -> tuple[str, str, str, int]:
@@ -39,6 +39,9 @@ def parser() -> argparse.ArgumentParser:
         help="how a database is read in parallel, for --hand-over jdbc",
     )
     options.add_argument("--landing", help="landed JSON pages to load first")
+    options.add_argument("--by-company", action="store_true", help="landed files are of one company each")
+    options.add_argument("--kept", help="folder for the rows of files that were read; only new files are read")
+    options.add_argument("--incoming", help="parquet files of daily rows to append first")
     options.add_argument("--symbol-pattern", default=FILE_STEM, help="symbol in a file's path")
     options.add_argument("--nested", action="store_true", help="look for files in subfolders too")
     options.add_argument("--date-format", action="append", default=[], help="besides ISO dates")
@@ -79,6 +82,10 @@ def settings(arguments: argparse.Namespace) -> pipeline.Settings:
         title=arguments.title,
         landing=arguments.landing,
         pages=f"{base}/pages",
+        by_company=arguments.by_company,
+        kept=arguments.kept,
+        incoming=arguments.incoming,
+        history=f"{base}/history",
     )
 
 
@@ -88,6 +95,8 @@ def main(words: list[str] | None = None) -> str | None:
     spark = SparkSession.builder.appName("tickerloom").getOrCreate()
     if arguments.stage == "load":
         return f"{pipeline.load(spark, chosen).count()} companies without a row"
+    if arguments.stage == "append":
+        return f"batches {pipeline.append(spark, chosen)}"
     if arguments.stage == "ingest":
         merged = pipeline.merge(spark, chosen)
         return None if merged is None else str(pipeline.ingest(merged, chosen))

@@ -66,9 +66,29 @@ def with_position(df: DataFrame, name: str = "position") -> DataFrame:
     )
 
 
-def first_n(df: DataFrame, n: int = 10_000) -> DataFrame:
-    """The first ``n`` rows of the sorted panel, by a top-k plan instead of a full sort."""
-    return df.orderBy(*panel_order(df)).limit(n)
+ONE_TASK = 100_000  # rows a task may gather
+
+
+def first_n(df: DataFrame, n: int = 10_000, one_task: int = ONE_TASK) -> DataFrame:
+    """The first ``n`` rows of the sorted panel.
+
+    Few rows come from a top-k plan, whose last step is one task. More are cut from the sorted ranges:
+    the sizes of the ranges, one number a partition, tell which lie before the cut, which one holds it
+    and how many of its rows count. No task sees more than its range.
+    """
+    order = panel_order(df)
+    if n <= one_task:
+        return df.orderBy(*order).limit(n)
+    pieces = range_pieces(df, order, "sorted")
+    sizes = pieces.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).collect()
+    before = 0
+    for size in sorted(sizes, key=lambda row: row["_range"]):
+        if before + size["n"] >= n:
+            here = (F.col("_range") == size["_range"]) & (F.col("_row") < n - before)
+            pieces = pieces.where((F.col("_range") < size["_range"]) | here)
+            break
+        before += size["n"]
+    return pieces.select(*df.columns)
 
 
 def first_per_symbol(df: DataFrame) -> DataFrame:

@@ -250,6 +250,22 @@ from supplier left join nation on s_nationkey = n_nationkey""",
     ),
     "append_new_rows": _with("history delivery", _APPENDED),
     "stream_daily_append": _with("history delivery", _APPENDED),
+    "replayed_append": _with("history delivery", _APPENDED),
+    "bounded_append": _with("panel", "select symbol, d as published_date, close from panel"),
+    "distinct_by_sketch": _with(
+        "fin",
+        "select cast(date_trunc('week', published_date) as date) as span, "
+        "cast(count(distinct symbol) as bigint) as companies, true as within_bound "
+        "from fin where published_date is not null group by 1",
+    ),
+    "vote_dates": _with("fin", "select * from fin"),
+    "first_n_wide": _with("clean", "select * from clean order by symbol, published_date limit 3000"),
+    "restart_one_company": _with(
+        "raw",
+        "select symbol, cast((n + least(n, 50)) * case when number % 5 = 2 or number % 10 = 3 then 2 "
+        "else 1 end as bigint) as staged, number % 10 = 3 as restarted from (select symbol, "
+        "cast(substr(symbol, 2) as bigint) as number, count(*) as n from raw group by symbol)",
+    ),
     "profile": _with("raw", _PROFILE),
     "column_summary": _with("raw", _SUMMARY),
     "merge_audit": _with(
@@ -305,6 +321,17 @@ select 'weighted avg', sum("precision" * support) / sum(support),
     "named_dataset_roundtrip": "select * from orders",
     "merged_csv_roundtrip": _with("uniq", _finite("uniq")),
     "scan_company_files": _with("raw", _finite("raw")),
+    "incremental_scan": _with("raw", _finite("raw")),
+    "scan_undated_files": _with(
+        "raw",
+        """
+select *, row_number() over (order by symbol, published_date nulls last, open nulls first,
+    high nulls first, low nulls first, close nulls first, per_change nulls first,
+    traded_quantity nulls first, traded_amount nulls first) - 1 as position
+from (select * replace (case when cast(substr(symbol, 2) as bigint) % 3 = 1 then null
+                        else published_date end as published_date)
+      from (""" + _finite("raw") + """))""",
+    ),
     "page_explode": _with("raw", _finite("raw")),
     # A first page without data loses 40 rows: the next page brings its last ten again.
     "page_completeness": _with(
@@ -342,7 +369,7 @@ having count(*) > 0""",
     "two_page_cycles": _with("uniq", _finite("uniq")),
     "file_audit": _with(
         "raw",
-        "select cast(count(distinct symbol) as bigint) as files_found, "
+        "select cast(count(distinct symbol) + 1 as bigint) as files_found, "
         "cast(count(distinct symbol) as bigint) as files_valid, "
         "cast(count(*) as bigint) as lines_used, cast(0 as bigint) as lines_set_aside from raw",
     ),

@@ -13,7 +13,7 @@ from ..operators import clean, features, joins, metrics, model, ordering, split
 from ..schema import DATE, RAW_SCHEMA, SYMBOL, TARGET
 from ..session import delete_folder, materialise, store
 from ..sources.companies import companies
-from ..sources.company_files import FILE_STEM, scan_company_files
+from ..sources.company_files import FILE_STEM, refresh_company_files, scan_company_files
 from ..sources.tables import (
     load_dataset,
     read_jdbc,
@@ -23,7 +23,7 @@ from ..sources.tables import (
     write_jdbc,
     write_table,
 )
-from ..streaming import page_load
+from ..streaming import company_load, daily_append, page_load
 
 
 @dataclass(frozen=True)
@@ -77,6 +77,10 @@ class Settings:
     title: str = "Model Evaluation Report"
     landing: str | None = None  # landed pages, for the load stage
     pages: str | None = None  # where the load stage publishes their rows, for the merge
+    by_company: bool = False  # landed files belong to one company each: progress by company
+    kept: str | None = None  # scan new and changed company files only, and keep the others' rows here
+    incoming: str | None = None  # parquet files of daily rows, for the append stage
+    history: str | None = None  # where that stage appends them, for the merge
 
 
 RAW, PROCESSED, TEST, REPORT = "prices_raw", "prices_processed", "prices_test", "report"
@@ -95,11 +99,23 @@ def load(spark: SparkSession, settings: Settings) -> DataFrame:
     """Load and publish the pages that landed since the last run. Returns the companies of which
     nothing is published yet."""
     staged, progress = f"{settings.pages}_staged", f"{settings.pages}_progress"
-    page_load.load_pages(spark, settings.landing, staged, progress)
+    if settings.by_company:
+        company_load.load_company_pages(spark, settings.landing, staged, f"{progress}_by_company")
+    else:
+        page_load.load_pages(spark, settings.landing, staged, progress)
     published = page_load.finalise(spark, staged, settings.pages)
     return joins.pending_companies(companies(spark), published)
 
 
+def append(spark: SparkSession, settings: Settings) -> list[int]:
+    """Append the daily rows that arrived since the last run, each (symbol, day) once. Returns the
+    numbers of all batches in the history."""
+    arrived = spark.readStream.schema(RAW_SCHEMA).parquet(settings.incoming)
+    dated = clean.parse_dates(arrived, settings.date_formats)
+    daily_append.stream_daily_append(spark, dated, settings.history, f"{settings.history}_progress")
+    return daily_append.committed_batches(spark, settings.history, "daily")
+
+
 @dataclass(frozen=True)
 class Merged:
     """The merged rows, stored once for all their readers."""
@@ -109,13 +125,20 @@ class Merged:
 
 
 def merge(spark: SparkSession, settings: Settings) -> Merged | None:
-    """Unique rows of all company files and published pages with parsed dates; None when there is
-    no row. ``ingest`` deletes what is stored here."""
-    rows = scan_company_files(
-        spark, settings.folder, settings.symbol_pattern, settings.nested
-    ).rows()
+    """Unique rows of all company files, published pages and appended days with parsed dates; None
+    when there is no row. ``ingest`` deletes what is stored here."""
+    if settings.kept is not None:
+        scan = refresh_company_files(
+            spark, settings.folder, settings.kept, settings.symbol_pattern, settings.nested
+        )
+    else:
+        scan = scan_company_files(spark, settings.folder, settings.symbol_pattern, settings.nested)
+    rows = scan.rows()
+    if settings.history is not None:
+        days = daily_append.history_rows(spark, settings.history)
+        rows = joins.union_by_name([rows, days.withColumn(DATE, F.col(DATE).cast("string"))])
     if settings.pages is not None:
-        published = page_load.read_or_empty(spark, settings.pages, RAW_SCHEMA)
+        published = page_load.published_rows(spark, settings.pages)
         rows = joins.union_by_name([rows, published])
     merged = rows.transform(clean.dedupe_rows).transform(
         clean.parse_dates, settings.date_formats
@@ -194,10 +217,12 @@ def evaluate(spark: SparkSession, settings: Settings) -> str:
 
 
 def run(spark: SparkSession, settings: Settings) -> str | None:
-    """All stages in order, the load only where pages land. Returns the report, or None, with nothing written, when the folder has
+    """All stages in order, load and append only where something arrives. Returns the report, or None, with nothing written, when the folder has
     no rows."""
     if settings.landing is not None:
         load(spark, settings)
+    if settings.incoming is not None:
+        append(spark, settings)
     merged = merge(spark, settings)
     if merged is None:
         return None

@@ -4,16 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import flatten_once
-from ..operators import clean, features, joins, metrics, model, ordering, profile, split
+from ..operators import (
+    clean,
+    date_vote,
+    distinct_sketches,
+    features,
+    joins,
+    metrics,
+    model,
+    ordering,
+    profile,
+    split,
+)
 from ..schema import DATE, SYMBOL, TARGET
-from ..session import fresh_path, materialise, store
+from ..session import create_empty_file, fresh_path, materialise, store
 from ..sources import pages, tables
-from ..sources.company_files import scan_company_files
-from ..streaming import daily_append, page_load
+from ..sources.company_files import refresh_company_files, scan_company_files
+from ..streaming import company_load, daily_append, page_load
 from . import event_panel
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,6 +126,11 @@ def first_n(spark, folder):
     return event_panel.cleaned(spark, folder).transform(ordering.first_n, 100)
 
 
+def first_n_wide(spark, folder):
+    """More rows than a task may gather, cut from the sorted ranges."""
+    return ordering.first_n(event_panel.cleaned(spark, folder), 3_000, one_task=500)
+
+
 def first_per_symbol(spark, folder):
     return event_panel.cleaned(spark, folder).transform(ordering.first_per_symbol)
 
@@ -171,9 +187,69 @@ def stream_daily_append(spark, folder):
     return daily_append.read_history(spark, stored).drop(daily_append.YEAR)
 
 
+def replayed_append(spark, folder):
+    """Days appended in two batches. The first is killed before its commit and comes again; the
+    second comes again after its commit, with other rows."""
+    history, new = _history_and_new(spark, folder)
+    path = fresh_path(spark, "history")
+    daily_append.write_history(history, path)
+    early, late = (new.where(F.col(DATE) < "2024-01-20"), new.where(F.col(DATE) >= "2024-01-20"))
+    daily_append.append_batch(spark, path, early, 0)
+    daily_append.commit_batch(spark, path, "daily", early, 0)
+    daily_append.commit_batch(spark, path, "daily", late, 1)
+    changed = late.withColumn(SYMBOL, F.concat(SYMBOL, F.lit("x")))
+    daily_append.commit_batch(spark, path, "daily", changed, 1)
+    return daily_append.read_history(spark, path).drop(daily_append.YEAR)
+
+
+def bounded_append(spark, folder):
+    """A stream of the panel's days, each row delivered twice within two days, without repeats; the
+    state holds a week."""
+    rows = event_panel.panel(spark, folder).select(
+        SYMBOL, F.col("d").alias(DATE), F.col("d").cast("timestamp_ntz").alias("ts"), "close"
+    )
+    arriving, kept = fresh_path(spark, "arriving"), fresh_path(spark, "kept")
+    again = rows.withColumn("ts", F.expr("ts + interval 2 days"))
+    rows.unionByName(again).write.parquet(arriving)
+    stream = spark.readStream.schema(rows.schema).parquet(arriving)
+    daily_append.stream_recent(stream, "ts", kept, fresh_path(spark, "progress"))
+    return spark.read.parquet(kept).select(SYMBOL, DATE, "close")
+
+
 # -- profiling ----------------------------------------------------------------------------------
 
 
+def distinct_by_sketch(spark, folder):
+    """Companies of each week, from sketches of the days that were stored in two deliveries which
+    share a week: whether the estimate is within 5 % of the count."""
+    rows = event_panel.finite(spark, folder)
+    path = fresh_path(spark, "sketches")
+    for part in (rows.where(F.col(DATE) < "2024-01-17"), rows.where(F.col(DATE) >= "2024-01-10")):
+        distinct_sketches.add_sketches(part, path)
+    week = F.trunc(DATE, "week")
+    estimates = distinct_sketches.distinct_counts(distinct_sketches.stored_sketches(spark, path), week)
+    exact = rows.where(F.col(DATE).isNotNull()).groupBy(week.alias("span")).agg(
+        F.count_distinct(SYMBOL).alias("companies")
+    )
+    close = F.abs(F.col("estimate") - F.col("companies")) <= 0.05 * F.col("companies")
+    return exact.join(estimates, "span").select("span", "companies", close.alias("within_bound"))
+
+
+# Spellings by the number of the symbol modulo their count.
+_SPELLINGS = ("yyyy-MM-dd", "dd/MM/yyyy", "MM/dd/yyyy", "dd.MM.yyyy", "MMM d, yyyy")
+
+
+def vote_dates(spark, folder):
+    """Unique rows of the panel, each company's dates in a spelling of its own, parsed by vote."""
+    day = F.col(DATE).try_cast("date")
+    number = F.substring(SYMBOL, 2, 20).cast("bigint") % len(_SPELLINGS)
+    spelled = F.coalesce(
+        *[F.when(number == i, F.date_format(day, spelling)) for i, spelling in enumerate(_SPELLINGS)], DATE
+    )
+    rows = event_panel.unique(spark, folder).transform(clean.nonfinite_to_null).withColumn(DATE, spelled)
+    return date_vote.parse_by_vote(materialise(rows, "spelled"))
+
+
 def profile_table(spark, folder):
     return event_panel.raw(spark, folder).transform(profile.profile)
 
@@ -191,10 +267,10 @@ def rows_per_symbol(spark, folder):
 
 
 def file_audit(spark, folder):
-    """Files found, files with a usable row, and their lines."""
+    """Files found, files with a usable row, and their lines; one file is without a byte."""
     path = _write_company_files(spark, folder)
-    pattern = r"symbol=([^/]+)/[^/]+\.csv$"
-    files = scan_company_files(spark, path, symbol_pattern=pattern, nested=True).audit()
+    create_empty_file(spark, f"{path}/symbol=NONE/empty.csv")
+    files = scan_company_files(spark, path, symbol_pattern=_SYMBOL_FOLDER, nested=True).audit()
     return files.agg(
         F.count(F.lit(1)).alias("files_found"),
         F.count_if(F.col("row_count") > 0).alias("files_valid"),
@@ -290,11 +366,12 @@ def merged_csv_roundtrip(spark, folder):
     return tables.read_csv(spark, path, rows.schema)
 
 
-def _write_company_files(spark, folder) -> str:
-    """The dirty panel as one folder per symbol, in two header forms: half of the symbols have
-    other column names and another column order."""
-    path = fresh_path(spark, "companies")
+def _write_company_files(spark, folder, path: str | None = None, part: Column | None = None) -> str:
+    """The dirty panel, or the ``part`` of it, as one folder per symbol, in two header forms: half of
+    the symbols have other column names and another column order."""
+    path = path or fresh_path(spark, "companies")
     rows = event_panel.raw(spark, folder)
+    rows = rows if part is None else rows.where(part)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     second_form = F.pmod(F.xxhash64(SYMBOL), F.lit(2)) == 1
     titled = {name: name.replace("_", " ").title() for name in rows.columns if name != SYMBOL}
@@ -308,14 +385,52 @@ def _write_company_files(spark, folder) -> str:
     return path
 
 
+_SYMBOL_FOLDER = r"symbol=([^/]+)/[^/]+\.csv$"
+
+
+def _usable_rows(scan) -> DataFrame:
+    return scan.rows().drop("status").transform(clean.nonfinite_to_null)
+
+
 def scan_files(spark, folder):
-    scan = scan_company_files(
-        spark,
-        _write_company_files(spark, folder),
-        symbol_pattern=r"symbol=([^/]+)/[^/]+\.csv$",
-        nested=True,
+    path = _write_company_files(spark, folder)
+    return _usable_rows(scan_company_files(spark, path, symbol_pattern=_SYMBOL_FOLDER, nested=True))
+
+
+def scan_undated_files(spark, folder):
+    """Company files of which every third has no date column, with places in the panel: by symbol
+    and date, rows without a date after the others."""
+    path = fresh_path(spark, "companies")
+    rows = event_panel.raw(spark, folder)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    undated = F.substring(SYMBOL, 2, 20).cast("bigint") % 3 == 1
+    for part in (rows.where(~undated), rows.where(undated).drop(DATE)):
+        part.repartition(tasks, SYMBOL).write.mode("append").partitionBy(SYMBOL).csv(path, header=True)
+    found = _usable_rows(scan_company_files(spark, path, symbol_pattern=_SYMBOL_FOLDER, nested=True))
+    return found.transform(ordering.with_position)
+
+
+def incremental_scan(spark, folder):
+    """Company files that come in three deliveries, scanned after each; the last one replaces files
+    of the first by longer ones."""
+    kept, path = fresh_path(spark, "kept"), fresh_path(spark, "companies")
+    number = F.substring(SYMBOL, 2, 20).cast("bigint")
+    early = F.col(DATE) < "2024-01-10"
+    replaced = number % 4 == 0
+    scan = lambda: refresh_company_files(
+        spark, path, kept, symbol_pattern=_SYMBOL_FOLDER, nested=True
     )
-    return scan.rows().drop("status").transform(clean.nonfinite_to_null)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        _write_company_files(spark, folder, path, replaced & early)
+        scan()
+        _write_company_files(spark, folder, path, ~replaced)
+        scan()
+        rows = event_panel.raw(spark, folder).where(replaced)
+        rows.repartition(8, SYMBOL).write.mode("overwrite").partitionBy(SYMBOL).csv(path, header=True)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    return _usable_rows(scan())
 
 
 def _answers(spark, folder, gaps: bool = False) -> DataFrame:
@@ -415,6 +530,26 @@ def two_page_cycles(spark, folder):
     return rows.drop("status").transform(clean.nonfinite_to_null)
 
 
+def restart_one_company(spark, folder):
+    """Pages by company, loaded twice. Between the runs some companies' progress is spoilt and others
+    get new pages: rows staged per company, and whether it was started again."""
+    landing, staged, progress = (fresh_path(spark, name) for name in ("landing", "staged", "progress"))
+    pattern = r"symbol=([^/]+)/[^/]+\.json$"
+    number = F.substring(SYMBOL, 2, 20).cast("bigint")
+    answers = materialise(_answers(spark, folder), "answers")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    deliveries = (answers, answers.where(number % 5 == 2))
+    restarted: list[str] = []
+    for delivery in deliveries:
+        delivery.repartition(tasks, SYMBOL).write.mode("append").partitionBy(SYMBOL).json(landing)
+        restarted = company_load.load_company_pages(spark, landing, staged, progress, pattern)
+        spoilt = answers.where(number % 10 == 3).select(SYMBOL, F.lit('{"path": "cut sho').alias("value"))
+        spoilt.distinct().write.mode("append").partitionBy(SYMBOL).text(progress)
+    again = spark.createDataFrame([(symbol, True) for symbol in restarted], "symbol string, restarted boolean")
+    counts = company_load.staged_rows(spark, staged).groupBy(SYMBOL).agg(F.count(F.lit(1)).alias("staged"))
+    return counts.join(again, SYMBOL, "left").withColumn("restarted", F.coalesce("restarted", F.lit(False)))
+
+
 QUERIES: dict[str, Query] = {
     "processed": processed,
     "dedupe_rows": dedupe_rows,
@@ -432,12 +567,17 @@ QUERIES: dict[str, Query] = {
     "flatten_lists": flatten_lists,
     "sorted_panel": sorted_panel,
     "first_n": first_n,
+    "first_n_wide": first_n_wide,
     "first_per_symbol": first_per_symbol,
     "union_by_name": union_by_name,
     "sector_join": sector_join,
     "pending_companies": pending_companies,
     "append_new_rows": append_new_rows,
     "stream_daily_append": stream_daily_append,
+    "replayed_append": replayed_append,
+    "bounded_append": bounded_append,
+    "distinct_by_sketch": distinct_by_sketch,
+    "vote_dates": vote_dates,
     "profile": profile_table,
     "column_summary": column_summary,
     "merge_audit": merge_audit,
@@ -453,10 +593,13 @@ QUERIES: dict[str, Query] = {
     "named_dataset_roundtrip": named_dataset_roundtrip,
     "merged_csv_roundtrip": merged_csv_roundtrip,
     "scan_company_files": scan_files,
+    "scan_undated_files": scan_undated_files,
+    "incremental_scan": incremental_scan,
     "page_explode": page_explode,
     "file_audit": file_audit,
     "page_completeness": page_completeness,
     "page_quarantine": page_quarantine,
     "two_page_cycles": two_page_cycles,
+    "restart_one_company": restart_one_company,
     "stream_page_load": stream_page_load,
 }

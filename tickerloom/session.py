@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -62,7 +64,41 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(store(df, name))
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """A parquet folder, or no rows where it is absent."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if not is_absent(error):
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def is_absent(error: AnalysisException) -> bool:
+    """Whether a read failed because its folder does not exist."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder on whichever file system the path names."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def create_empty_file(spark: SparkSession, path: str) -> None:
+    """A file without a byte, on whichever file system the path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).createNewFile(target)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, on whichever file system the path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what a folder holds; an absent folder holds nothing."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in system.listStatus(target)] if system.exists(target) else []

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import (
     clean_name_column,
@@ -18,7 +22,7 @@ from ..functions import (
     split_csv_line,
 )
 from ..schema import DATE, NUMERIC_FIELDS, PAGE_FIELDS, RAW_SCHEMA, SYMBOL
-from ..session import materialise
+from ..session import is_absent, materialise, read_or_empty
 
 # The symbol is the file name without its ending.
 FILE_STEM = r"([^/]+)\.csv$"
@@ -39,7 +43,7 @@ class CompanyFiles:
     parsed: DataFrame
 
     def files(self) -> DataFrame:
-        """Path and length of every file found."""
+        """Path, length and time of change of every file found."""
         return list_files(self.spark, self.folder, self.nested)
 
     def rows(self) -> DataFrame:
@@ -67,35 +71,58 @@ class CompanyFiles:
         )
 
 
-def list_files(spark: SparkSession, folder: str, nested: bool = False) -> DataFrame:
-    """Path and length of the CSV files of a folder; an absent folder has none. Spark's listing
-    leaves out files without a single byte."""
+def list_files(
+    spark: SparkSession, folder: str, nested: bool = False, pattern: str = "*.csv"
+) -> DataFrame:
+    """Path, length and time of change of the files of a folder; an absent folder has none.
+
+    Spark reads no file without a byte and leaves it out of its rows, not out of its list of names:
+    such a file has length 0 and no time."""
     try:
-        return (
+        files = (
             spark.read.format("binaryFile")
-            .option("pathGlobFilter", "*.csv")
+            .option("pathGlobFilter", pattern)
             .option("recursiveFileLookup", str(nested).lower())
             .load(folder)
-            .select(F.col("_metadata.file_path").alias("path"), "length")
         )
+        names = files.inputFiles()
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if not is_absent(error):
             raise
-        return spark.createDataFrame([], "path string, length bigint")
+        return spark.createDataFrame([], "path string, length bigint, modified timestamp")
+    found = files.select(
+        F.col("_metadata.file_path").alias("path"), "length", F.col("modificationTime").alias("modified")
+    )
+    # The list and the rows differ in the slashes after the scheme.
+    listed = spark.createDataFrame([(re.sub(r"^([\w.+-]+):/+", r"\1:///", name),) for name in names], "path string")
+    key = F.regexp_replace("path", r"^([\w.+-]+):/+", "$1:///").alias("path")
+    empty = listed.join(found.select(key), "path", "left_anti").select(
+        "path", F.lit(0).cast("bigint").alias("length"), F.lit(None).cast("timestamp").alias("modified")
+    )
+    return found.unionByName(empty)
+
 
+def _lines(spark: SparkSession, source: str | list[str], nested: bool) -> DataFrame | None:
+    """Lines of all files, stored once with their file and place; None when the folder is absent.
 
-def _lines(spark: SparkSession, folder: str, nested: bool) -> DataFrame | None:
-    """Lines of all files with their file; None when the folder is absent."""
+    The text is read here and nowhere else: headers and values are taken from the stored lines.
+    ``_at`` grows along the first split of a file (``_first``), which holds its first line."""
     reader = spark.read.option("pathGlobFilter", "*.csv").option(
         "recursiveFileLookup", str(nested).lower()
     )
     try:
-        text = reader.text(folder)
+        text = reader.text(source)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if not is_absent(error):
             raise
         return None
-    return text.select(F.col("value").alias("_line"), F.col("_metadata.file_path").alias(_PATH))
+    lines = text.select(
+        F.col("value").alias("_line"),
+        F.col("_metadata.file_path").alias(_PATH),
+        (F.col("_metadata.file_block_start") == 0).alias("_first"),
+        F.monotonically_increasing_id().alias("_at"),
+    )
+    return materialise(lines.where(F.trim("_line") != ""), "lines")
 
 
 def symbol_from_path(path: Column, pattern: str = FILE_STEM) -> Column:
@@ -106,24 +133,34 @@ def symbol_from_path(path: Column, pattern: str = FILE_STEM) -> Column:
 
 def _headers(lines: DataFrame, wanted: Sequence[str], symbol_pattern: str) -> DataFrame:
     """Per file its symbol, its header and the place of each wanted column. The header is the line
-    that names the date; a file with different such lines is ambiguous."""
+    that names the date; a file with different such lines is ambiguous. Without such a line it is the
+    file's first one, if that names another known column."""
+
+    def names(line: Column) -> Column:
+        return F.transform(split_csv_line(line), lambda name: clean_name_column(name))
+
     line = F.col("_line")
-    names = F.transform(split_csv_line(line), lambda name: clean_name_column(name))
     # The cheap test goes first: data lines never reach the split.
-    is_header = F.lower(line).contains("published") & F.array_contains(names, DATE)
+    dated = F.when(F.lower(line).contains("published") & F.array_contains(names(line), DATE), line)
     found = (
-        lines.where(is_header)
-        .groupBy(_PATH)
-        .agg(F.min(line).alias("_header"), F.max(line).alias("_other_header"))
+        lines.groupBy(_PATH)
+        .agg(
+            F.min(dated).alias("_header"),
+            F.max(dated).alias("_other_header"),
+            F.min_by(line, F.when(F.col("_first"), F.col("_at"))).alias("_top"),
+        )
         .withColumn(
-            "_names",
-            F.transform(split_csv_line(F.col("_header")), lambda name: clean_name_column(name)),
+            "_top",
+            F.when(F.arrays_overlap(names(F.col("_top")), F.array(*map(F.lit, NUMERIC_FIELDS))), F.col("_top")),
         )
+        .withColumn("_header", F.coalesce("_header", "_top"))
+        .withColumn("_other_header", F.coalesce("_other_header", "_top"))
+        .withColumn("_names", names(F.col("_header")))
     )
     places = [
         (F.array_position("_names", name) - 1).cast("int").alias(f"_at_{name}") for name in wanted
     ]
-    return found.select(
+    return found.where(F.col("_header").isNotNull()).select(
         _PATH,
         symbol_from_path(F.col(_PATH), symbol_pattern).alias(SYMBOL),
         "_header",
@@ -142,27 +179,34 @@ def scan_company_files(
 ) -> CompanyFiles:
     """Read all files of a folder at once, matching columns by header name, not by position.
 
-    The files are read as lines, so a large file splits over many tasks. A first pass finds each
-    file's header and stores the places of the known columns, one row per file. That table is
+    The files are read as lines, so a large file splits over many tasks, and stored. From the stored
+    lines come each file's header and the places of the known columns, one row per file. That table is
     joined without a hint: Spark knows its stored size and broadcasts it only when it is small.
 
-    A line is set aside when its file has no header or two different ones, when it has more
-    fields than the header, or when a numeric field holds other text or a number out of range. Unknown columns are dropped
-    unless named in ``extra_columns`` (kept as text). Line breaks inside quotes are not supported.
+    A file without a date column is kept, its dates are NULL. A line is set aside when its file has no
+    header or two different ones, when it has more fields than the header, or when a numeric field
+    holds other text or a number out of range. Unknown columns are dropped unless named in
+    ``extra_columns`` (kept as text). Line breaks inside quotes are not supported.
     """
-    wanted = [*PAGE_FIELDS, *extra_columns]
     lines = _lines(spark, folder, nested)
-    if lines is None:
-        empty = spark.createDataFrame([], RAW_SCHEMA).select(*PAGE_FIELDS, SYMBOL)
-        for name in [*extra_columns, _PATH, "_line", "_reason"]:
-            empty = empty.withColumn(name, F.lit(None).cast("string"))
-        return CompanyFiles(spark, folder, nested, empty)
+    parsed = _nothing(spark, extra_columns) if lines is None else _parsed(lines, symbol_pattern, extra_columns)
+    return CompanyFiles(spark, folder, nested, parsed)
+
 
+def _nothing(spark: SparkSession, extra_columns: Sequence[str]) -> DataFrame:
+    empty = spark.createDataFrame([], RAW_SCHEMA).select(*PAGE_FIELDS, SYMBOL)
+    for name in [*extra_columns, _PATH, "_line", "_reason"]:
+        empty = empty.withColumn(name, F.lit(None).cast("string"))
+    return empty
+
+
+def _parsed(lines: DataFrame, symbol_pattern: str, extra_columns: Sequence[str]) -> DataFrame:
+    """Every data line with its values, its file and, when it cannot be used, a reason."""
+    wanted = [*PAGE_FIELDS, *extra_columns]
     headers = materialise(_headers(lines, wanted, symbol_pattern), "headers")
     is_header = (F.col("_line") == F.col("_header")) | (F.col("_line") == F.col("_other_header"))
     cells = (
-        lines.where(F.trim("_line") != "")
-        .withColumn("_fields", split_csv_line(F.col("_line")))
+        lines.withColumn("_fields", split_csv_line(F.col("_line")))
         .join(headers, _PATH, "left")
         .where(~F.coalesce(is_header, F.lit(False)))
     )
@@ -190,7 +234,50 @@ def scan_company_files(
         .when(F.size("_fields") > F.col("_width"), "too many fields")
         .when(unreadable, "not a number")
     )
-    parsed = read.withColumn("_reason", reason).select(
+    return read.withColumn("_reason", reason).select(
         *PAGE_FIELDS, SYMBOL, *extra_columns, _PATH, "_line", "_reason"
     )
+
+
+_VERSION = ["path", "length", "modified"]
+_MANIFEST = "path string, length bigint, modified timestamp, load string"
+_GLOB_SIGNS = re.compile(r"([\\{}\[\]*?])")
+
+
+def refresh_company_files(
+    spark: SparkSession,
+    folder: str,
+    kept: str,
+    symbol_pattern: str = FILE_STEM,
+    nested: bool = False,
+) -> CompanyFiles:
+    """As :func:`scan_company_files`, reading only the files that are new or have changed since the
+    last run with the folder ``kept``.
+
+    ``<kept>/manifest`` lists the files read, with length and time of change, ``<kept>/rows`` holds
+    their parsed lines, both in one part per run (``load``). Rows are written before the manifest, so
+    those of a run that was killed do not count and its files are read again. Rows of a file that has
+    changed or gone stay stored but no longer show. Settings must stay the same between runs. Names of new
+    files pass through the driver, as Spark's own listing does.
+    """
+    listing = materialise(list_files(spark, folder, nested).where("length > 0"), "listing")
+    manifest = read_or_empty(spark, f"{kept}/manifest", _MANIFEST)
+    new = materialise(listing.join(manifest, _VERSION, "left_anti"), "new_files")
+    paths = [row["path"] for row in new.select("path").collect()]
+    empty = _nothing(spark, ())
+    if paths:
+        load = uuid.uuid4().hex
+        lines = _lines(spark, [plain_path(path) for path in paths], nested)
+        rows = _parsed(lines, symbol_pattern, ())
+        rows.write.parquet(f"{kept}/rows/load={load}")
+        new.withColumn("load", F.lit(load)).write.mode("append").parquet(f"{kept}/manifest")
+        manifest = read_or_empty(spark, f"{kept}/manifest", _MANIFEST)
+    stored = read_or_empty(spark, f"{kept}/rows", T.StructType([*empty.schema.fields, T.StructField("load", T.StringType())]))
+    current = listing.join(manifest, _VERSION).select(F.col("path").alias(_PATH), "load")
+    parsed = stored.join(current, [_PATH, "load"], "left_semi").select(*empty.columns)
     return CompanyFiles(spark, folder, nested, parsed)
+
+
+def plain_path(name: str) -> str:
+    """The name Spark lists a file by as a path it reads: decoded, signs of patterns escaped."""
+    return _GLOB_SIGNS.sub(r"\\\1", unquote(name))

@@ -17,7 +17,7 @@ from ..functions import clean_name_column, is_missing_text, number_from_text
 from ..schema import DATE, NUMERIC_FIELDS, PAGE_FIELDS, PAGE_ROW_NUMBER, RAW_SCHEMA, SYMBOL
 from .company_files import symbol_from_path
 
-_JSON_STEM = r"([^/.]+)[^/]*\.json$"
+JSON_STEM = r"([^/.]+)[^/]*\.json$"
 _CORRUPT = "_corrupt_record"
 
 # Names and types of the source's values are not known, so a row is read as names and texts.
@@ -38,8 +38,8 @@ PARSED_SCHEMA = T.StructType(
 )
 
 
-def _with_symbol(pages: DataFrame) -> DataFrame:
-    stem = symbol_from_path(F.col("_metadata.file_path"), _JSON_STEM)
+def _with_symbol(pages: DataFrame, symbol_pattern: str = JSON_STEM) -> DataFrame:
+    stem = symbol_from_path(F.col("_metadata.file_path"), symbol_pattern)
     named = F.coalesce(F.col(SYMBOL), F.when(stem != "", stem))
     return pages.select(
         named.alias(SYMBOL),
@@ -50,9 +50,12 @@ def _with_symbol(pages: DataFrame) -> DataFrame:
     )
 
 
-def read_pages(spark: SparkSession, landing: str) -> DataFrame:
-    """Answers with their rows as lists of (key, value)."""
-    return _with_symbol(spark.read.schema(PAGE_SCHEMA).json(landing))
+def read_pages(
+    spark: SparkSession, landing: str | list[str], symbol_pattern: str = JSON_STEM
+) -> DataFrame:
+    """Answers with their rows as lists of (key, value). A symbol that the answers lack is taken from
+    the path."""
+    return _with_symbol(spark.read.schema(PAGE_SCHEMA).json(landing), symbol_pattern)
 
 
 def stream_pages(spark: SparkSession, landing: str, files_per_batch: int = 1000) -> DataFrame:

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException, StreamingQueryException
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
-from ..operators.clean import dedupe_rows
-from ..operators.joins import rows_not_in
-from ..schema import RAW_SCHEMA
-from ..session import delete_folder
+from ..functions import date_from_text
+from ..schema import DATE, RAW_SCHEMA, SYMBOL
+from ..session import delete_folder, read_or_empty
 from ..sources.pages import PARSED_SCHEMA, parse_pages, quarantine, stream_pages, usable
-
-QUARANTINE_SCHEMA = "path string, line string, reason string"
+from .history import merge_rows, stored_rows
 
 
 def _run(spark: SparkSession, landing: str, staged: str, progress: str) -> None:
@@ -52,28 +50,19 @@ def _unreadable_progress(error: StreamingQueryException) -> bool:
     return any(sign.lower() in text.lower() for sign in signs)
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """A parquet folder, or no rows where it is absent."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def finalise(spark: SparkSession, staged: str, final: str) -> DataFrame:
     """Publish the staged rows that ``final`` lacks, each once, and clear the stage. Unusable rows
-    go to ``<final>_quarantine`` in the same way. Published rows stay. A run that was killed can be
-    run again. No row order is stored: sort by date when reading."""
+    go to ``<final>_quarantine`` in the same way. Published rows stay; of them only the digests in
+    the partitions of the staged rows are read. A run that was killed can be run again. No row order
+    is stored: sort by date when reading."""
     parsed = read_or_empty(spark, staged, PARSED_SCHEMA)
-    rejected = f"{final}_quarantine"
-    parts = [
-        (usable(parsed), final, RAW_SCHEMA),
-        (quarantine(parsed), rejected, QUARANTINE_SCHEMA),
-    ]
-    for rows, path, schema in parts:
-        published = read_or_empty(spark, path, schema)
-        rows_not_in(published, rows.transform(dedupe_rows)).write.mode("append").parquet(path)
+    year = F.year(date_from_text(F.col(DATE)))
+    merge_rows(usable(parsed), final, SYMBOL, year)
+    merge_rows(quarantine(parsed), f"{final}_quarantine", "path", F.lit(None))
     delete_folder(spark, staged)
-    return spark.read.schema(RAW_SCHEMA).parquet(final)
+    return published_rows(spark, final)
+
+
+def published_rows(spark: SparkSession, final: str) -> DataFrame:
+    """The published rows; none where nothing was published yet."""
+    return stored_rows(spark, final, RAW_SCHEMA)
