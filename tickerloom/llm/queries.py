@@ -227,7 +227,7 @@ def op9_length_buckets(spark: SparkSession, folder: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     lexicon = toxicity.learn_lexicon(docs, table(spark, folder, "labels"))
-    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2, F.lit(False))
     scored = toxicity.toxicity_scores(docs, lexicon)
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 

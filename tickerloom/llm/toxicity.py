@@ -1,6 +1,7 @@
 """Toxicity of texts from a lexicon that also matches misspelled terms.
 
-The lexicon is a trie. A Levenshtein automaton runs over it: its states are sets of (trie node,
+Besides terms there are families of words with one beginning, of which toxic texts use several and
+clean ones at most one. The lexicon is a trie. A Levenshtein automaton runs over it: its states are sets of (trie node,
 edits), made deterministic as tokens need them, so a token costs a step a letter and most tokens
 end after a few. What a match is worth depends on the words around it: a quoted or reported term
 weighs little, one addressed to somebody weighs fully.
@@ -22,10 +23,11 @@ from . import near_join
 
 THRESHOLD = 0.3
 SAMPLE_ROWS = 10_000  # labelled rows of each class the lexicon is learned from
-LEXICON_TERMS = 400  # entries learned
 MIN_DOCUMENTS = 8  # toxic rows of the sample a term must be in
 MIN_LIFT = 50.0  # how much more frequent a term must be in toxic rows
-STEMS = (4, 5, 6)  # lengths of the beginnings that may stand for a family of words
+STEMS = range(4, 13)  # lengths of the beginnings that may stand for a family of words
+FAMILY_LIFT = 20.0  # how much more frequent several words of a family must be in toxic rows
+FAMILY_SHARE = 0.8  # share of toxic rows among those with several words of a family
 
 # Known terms, used also where no labels are given.
 SEED = (
@@ -41,9 +43,10 @@ SEED = (
     "disgusting",
 )
 SEED_WEIGHT = 0.9
-# Weight of a match by number of edits: a misspelled term of weight 0.86 or more reaches ``THRESHOLD``
-# by itself in plain use, as a learned term's is 0.88 at least. Ordinary words near to a term are known.
+# Weight of a match by number of edits before any word near to the term was seen: a misspelled term of
+# weight 0.86 or more reaches ``THRESHOLD`` by itself in plain use, as a learned term's is 0.88 at least.
 EDIT_WEIGHT = (1.0, 0.4, 0.35)
+PRIOR_ROWS = 2.0  # labelled rows with a word near to the term that this counts for
 CONTEXT_WORDS = 6
 QUOTED, REPORTED, QUOTED_AND_REPORTED, ADDRESSED = 0.3, 0.6, 0.1, 1.2
 REPORTING = frozenset(
@@ -54,7 +57,7 @@ ADDRESS = frozenset("you your youre du dich dein tu toi votre vous tú eres uste
 
 # A word; signs that stand in for letters inside one belong to it.
 TOKEN = re.compile(r"[^\W_]+(?:[*@$!'][^\W_]+)*")
-_QUOTES = re.compile(r'"[^"\n]{1,300}"|“[^”\n]{1,300}”|«[^»\n]{1,300}»|„[^“”\n]{1,300}[“”]')
+_QUOTES = re.compile(r'"[^"\n]+"|“[^”\n]+”|«[^»\n]+»|„[^“”\n]+[“”]')
 _KEPT_TOKENS = 200_000  # verdicts a worker keeps, for speed only
 
 
@@ -65,9 +68,19 @@ def allowed_edits(term: str) -> int:
 class Lexicon:
     """Trie of terms and stems with a Levenshtein automaton over it."""
 
-    def __init__(self, terms: dict[str, float], stems: dict[str, float], known: Iterable[str] = ()):
-        self.stems = stems
+    def __init__(
+        self,
+        terms: dict[str, float],
+        stems: dict[str, float | tuple[float, float]],
+        known: Iterable[str] = (),
+        misspelled: dict[tuple[str, int], float] | None = None,
+    ):
+        # Weight of a text's only word of the family, and of each of several.
+        self.stems = {
+            stem: weights if isinstance(weights, tuple) else (weights, weights) for stem, weights in stems.items()
+        }
         self.known = frozenset(known)  # ordinary words, never misspellings
+        self.misspelled = misspelled or {}  # factor by term and edits, where labels tell it
         self._children: list[dict[str, int]] = [{}]
         self._entry: list[str | None] = [None]
         self._most: list[int] = [0]  # edits some entry below allows
@@ -164,23 +177,37 @@ class Lexicon:
         return self._best[state]
 
     def weight(self, token: str) -> float:
-        """Probability that a text with this token, in plain use, is toxic; 0 for other words."""
+        """Probability that a text with this token, in plain use, is toxic; 0 for other words. For a
+        word of a family, where it is the only one of it."""
         found = self.nearest(token)
         if found and found[1] == 0:
             return self.terms[found[0]]
-        for size in self._stem_sizes:
-            weight = self.stems.get(token[:size])
-            if weight is not None:
-                return weight
+        stem = self.family(token)
+        if stem is not None:
+            return self.stems[stem][0]
         if token in self.known:
             return 0.0
-        if found:
-            return self.terms[found[0]] * EDIT_WEIGHT[found[1]]
-        if len(token) == 4:
-            term = self.masked(token)
-            if term is not None:
-                return self.terms[term] * EDIT_WEIGHT[1]
-        return 0.0
+        near = self.near(token)
+        if near is None:
+            return 0.0
+        return self.terms[near[0]] * self.misspelled.get(near, EDIT_WEIGHT[near[1]])
+
+    def family(self, token: str) -> str | None:
+        """The stem a longer token, that is no term itself, begins with."""
+        if token not in self.terms:
+            for size in self._stem_sizes:
+                if size < len(token) and token[:size] in self.stems:
+                    return token[:size]
+        return None
+
+    def near(self, token: str) -> tuple[str, int] | None:
+        """The term a token may be a misspelling of, with the edits; None for terms and their families."""
+        found = self.nearest(token)
+        if found and found[1] == 0 or self.family(token) is not None:
+            return None
+        if found is None and (term := self.masked(token)) is not None:
+            found = (term, 1)
+        return found
 
     def masked(self, token: str) -> str | None:
         """The term of four letters of which the token has all but one, a digit or sign in its place."""
@@ -216,13 +243,28 @@ class Scorer:
             found = found or weight > 0.0
         return self._in_context(small) if found else 0.0
 
+    def _several(self, tokens: Iterable[str]) -> dict[str, float]:
+        """Weights of the words of families of which there are several."""
+        families: dict[str, set[str]] = {}
+        for token in tokens:
+            stem = self._lexicon.family(token)
+            if stem is not None:
+                families.setdefault(stem, set()).add(token)
+        return {
+            token: self._lexicon.stems[stem][1]
+            for stem, members in families.items()
+            if len(members) > 1
+            for token in members
+        }
+
     def _in_context(self, small: str) -> float:
         tokens = [(match.group(), match.start()) for match in TOKEN.finditer(small)]
+        several = self._several({token for token, _ in tokens}) if self._lexicon.stems else {}
         quoted = [match.span() for match in _QUOTES.finditer(small)]
         left = 1.0
         quote = 0
         for place, (token, at) in enumerate(tokens):
-            weight = self._weights.get(token)
+            weight = several.get(token) or self._weights.get(token)
             if weight is None:
                 weight = self._lexicon.weight(token)
             if not weight:
@@ -252,11 +294,12 @@ def _sampled(docs: DataFrame, labels: DataFrame, ident: str, text: str, rows: in
     Training rows are those whose crc32 of the id as text is not 2 modulo 4. Rows without a label
     of 0 or 1 do not count; an id labelled twice counts as toxic if one label says so.
     """
-    training = F.pmod(F.crc32(F.col(ident).cast("string")), F.lit(4)) != 2
+    training = F.pmod(F.crc32(F.col("_id").cast("string")), F.lit(4)) != 2
     marked = (
-        labels.where(F.col("toxic").isin(0, 1) & F.col(ident).isNotNull() & training)
-        .groupBy(F.col(ident).alias("_id"))
-        .agg(F.max("toxic").alias("_toxic"))
+        labels.select(F.col(f"`{ident}`").alias("_id"), F.col("toxic").alias("_toxic"))
+        .where(F.col("_toxic").isin(0, 1) & F.col("_id").isNotNull() & training)
+        .groupBy("_id")
+        .agg(F.max("_toxic").alias("_toxic"))
     )
     marked = materialise(marked, "labels")
     sizes = {row["_toxic"]: row["n"] for row in marked.groupBy("_toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -265,9 +308,8 @@ def _sampled(docs: DataFrame, labels: DataFrame, ident: str, text: str, rows: in
     for label, size in sizes.items():
         keep = keep | ((F.col("_toxic") == label) & (place < int(1_000_000 * min(1.0, rows / size))))
     # At most about two times ``rows`` ids, whatever the number of labels.
-    return docs.join(F.broadcast(marked.where(keep)), F.col(ident) == F.col("_id")).select(
-        F.col("_toxic").alias("toxic"), F.col(text).alias("text")
-    )
+    texts = docs.select(F.col(f"`{ident}`").alias("_id"), F.col(f"`{text}`").alias("text"))
+    return texts.join(F.broadcast(marked.where(keep)), "_id").select(F.col("_toxic").alias("toxic"), "text")
 
 
 def _one_of_each(sample: DataFrame) -> DataFrame:
@@ -285,7 +327,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for toxic, text in zip(*(column.to_pylist() for column in batch.columns), strict=True):
             tokens = TOKEN.findall((text or "").lower())
-            counts[toxic].update({"", *(token for token in tokens if 2 < len(token) < 64)})
+            counts[toxic].update({"", *tokens})
     words = list(counts[0].keys() | counts[1].keys())
     columns = (words, [counts[1][word] for word in words], [counts[0][word] for word in words])
     kinds = (pa.string(), pa.int64(), pa.int64())
@@ -295,6 +337,77 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
+def _beginnings(tokens: Iterable[str]) -> dict[str, int]:
+    """How many different words begin with each of their beginnings."""
+    counts: Counter = Counter()
+    for token in set(tokens):
+        counts.update(token[:size] for size in STEMS if size < len(token))
+    return counts
+
+
+def _family_counts(stems: frozenset[str] | None):
+    """Counts rows by stem and class: without ``stems`` those with several words of a family, with
+    them those with one word of the families named."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: tuple[Counter, Counter] = (Counter(), Counter())
+        for batch in batches:
+            for toxic, text in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                found = _beginnings(TOKEN.findall((text or "").lower()))
+                if stems is None:
+                    counts[toxic].update(stem for stem, words in found.items() if words > 1)
+                else:
+                    counts[toxic].update(stem for stem in stems if found.get(stem) == 1)
+        names = list(counts[0].keys() | counts[1].keys())
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(names, pa.string()),
+                pa.array([counts[1][name] for name in names], pa.int64()),
+                pa.array([counts[0][name] for name in names], pa.int64()),
+            ],
+            ["stem", "toxic", "clean"],
+        )
+
+    return count
+
+
+def _families(sample: DataFrame, toxic: int, clean: int) -> dict[str, tuple[float, float]]:
+    """Stems of which toxic rows have several words and clean rows do not, with the share of toxic
+    rows among those with one word of it, and with several."""
+
+    def counted(stems: frozenset[str] | None) -> DataFrame:
+        return (
+            sample.mapInArrow(_family_counts(stems), "stem string, toxic long, clean long")
+            .groupBy("stem")
+            .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+        )
+
+    def share(row) -> float:
+        return (row["toxic"] + 1) / (row["toxic"] + row["clean"] + 2)
+
+    lift = (F.col("toxic") / toxic) / ((F.col("clean") + 0.5) / clean)
+    telling = (
+        (F.col("toxic") >= MIN_DOCUMENTS)
+        & (lift >= FAMILY_LIFT)
+        & (F.col("toxic") + 1 >= FAMILY_SHARE * (F.col("toxic") + F.col("clean") + 2))
+    )
+    several = {row["stem"]: row for row in counted(None).where(telling).collect()}
+    chosen: dict[str, float] = {}
+    # Of stems within one another the shortest wins, but for a longer one that is as frequent.
+    for stem, row in sorted(several.items(), key=lambda item: (len(item[0]), item[0])):
+        longer = [r for s, r in several.items() if len(s) == len(stem) + 1 and s.startswith(stem)]
+        if any(r["toxic"] >= 0.95 * row["toxic"] for r in longer):
+            continue
+        if not any(stem.startswith(other) for other in chosen):
+            chosen[stem] = share(row)
+    if not chosen:
+        return {}
+    single = {row["stem"]: share(row) for row in counted(frozenset(chosen)).collect()}
+    # Where most rows with one word are clean, that word alone must not decide.
+    single = {stem: weight if weight >= 0.5 else weight / 2 for stem, weight in single.items()}
+    return {stem: (min(weight, single.get(stem, weight)), weight) for stem, weight in chosen.items()}
+
+
 def learn_lexicon(
     docs: DataFrame,
     labels: DataFrame,
@@ -305,65 +418,63 @@ def learn_lexicon(
 ) -> Lexicon:
     """Words, and beginnings shared by a family of words, that toxic rows have and clean rows lack.
 
-    ``sample_rows`` of each class bound the fit, so the lexicon, at most ``LEXICON_TERMS`` entries,
-    and the list of ordinary words near to a term, are bounded too and may be sent to every task.
+    ``sample_rows`` of each class bound the fit, so the lexicon and the list of ordinary words near to a
+    term, which come from the words of that sample, are bounded too and may be sent to every task.
     A row that is copied many times would make telling words of all its rare words; so copies and
     near copies of the sample (see :func:`near_join.near_join`) count once a class.
     Without labels of both classes, or rows that bear them, the lexicon is ``seed``. With them a seed is
     weighed by the same counts as other words, but needs no number of toxic rows; clean rows take it
     out as they do others.
+
+    What a misspelling is worth is learned for each term and number of edits, from the labelled rows
+    with words that near to it: a term that looks like many ordinary words is hardly ever misspelled.
     """
+    sample = materialise(_one_of_each(_sampled(docs, labels, ident, text, sample_rows)), "distinct")
     words = materialise(
-        _one_of_each(_sampled(docs, labels, ident, text, sample_rows))
-        .mapInArrow(_word_counts, "word string, toxic long, clean long")
+        sample.mapInArrow(_word_counts, "word string, toxic long, clean long")
         .groupBy("word")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")),
         "words",
     )
     total = words.where("word = ''").first()
     terms = dict.fromkeys(seed, SEED_WEIGHT)
-    stems: dict[str, float] = {}
+    stems: dict[str, tuple[float, float]] = {}
     if total is not None and total["toxic"] and total["clean"]:
         seen = {row["word"]: row for row in words.where(F.col("word").isin(list(terms))).collect()}
         lift = (F.col("toxic") / total["toxic"]) / ((F.col("clean") + 0.5) / total["clean"])
         telling = (F.col("toxic") >= MIN_DOCUMENTS) & (lift >= MIN_LIFT) & (F.col("clean") * 20 <= F.col("toxic"))
-        best = lambda rows, name: {
-            row[name]: row
-            for row in rows.where(telling).orderBy(F.desc("toxic"), name).limit(LEXICON_TERMS).collect()
-        }
-        single = best(words.where("word <> ''"), "word")
-        sizes = F.array(*[F.lit(size) for size in STEMS])
-        family = best(
-            words.where("word <> ''")
-            .withColumn("size", F.explode(sizes))
-            .where(F.length("word") > F.col("size"))
-            .groupBy(F.expr("substring(word, 1, size)").alias("stem"))
-            .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.max("toxic").alias("one")),
-            "stem",
-        )
+        single = {row["word"]: row for row in words.where("word <> ''").where(telling).collect()}
         weight = lambda row: (row["toxic"] + 1) / (row["toxic"] + row["clean"] + 2)
-        # A family needs several words; of stems within one another the shortest as frequent wins.
-        wide = {stem: row for stem, row in family.items() if row["toxic"] > 1.5 * max(row["one"], MIN_DOCUMENTS)}
-        for stem, row in sorted(wide.items(), key=lambda item: len(item[0])):
-            longer = [r for s, r in wide.items() if len(s) == len(stem) + 1 and s.startswith(stem)]
-            if any(r["toxic"] >= 0.95 * row["toxic"] for r in longer):
-                continue
-            if not any(stem.startswith(other) for other in stems):
-                stems[stem] = weight(row)
+        stems = _families(sample, total["toxic"], total["clean"])
         unseen = {"toxic": 0, "clean": 0}
         counted = {word: seen.get(word, unseen) for word in terms}
         terms = {word: weight(row) for word, row in counted.items() if row["clean"] * 20 <= row["toxic"]}
         terms |= {
             word: weight(row)
             for word, row in single.items()
-            if not any(word.startswith(stem) for stem in stems)
+            if not any(word != stem and word.startswith(stem) for stem in stems)
         }
     lexicon = Lexicon(terms, stems)
-    near = F.arrow_udf(lambda column: pa.array([(lexicon.nearest(x or "") or lexicon.masked(x or "")) is not None for x in column.to_pylist()]), "boolean")
+
+    @F.arrow_udf("struct<term: string, edits: int>")
+    def near(column: pa.Array) -> pa.Array:
+        found = [lexicon.near(word) for word in column.to_pylist()]
+        return pa.array(
+            [None if pair is None else {"term": pair[0], "edits": pair[1]} for pair in found],
+            pa.struct([("term", pa.string()), ("edits", pa.int32())]),
+        )
+
+    looks = words.where("word <> ''").withColumn("near", near(F.col("word"))).where("near is not null")
+    looks = materialise(looks, "looks")
     # Words clean rows of the sample use that happen to be near to a term.
-    ordinary = words.where("clean > 0 and word <> ''").where(near(F.col("word"))).select("word")
-    known = [row["word"] for row in ordinary.collect() if row["word"] not in terms]
-    return Lexicon(terms, stems, known)
+    known = [row["word"] for row in looks.where("clean > 0").select("word").collect()]
+    counts = looks.groupBy("near.term", "near.edits").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    misspelled = {
+        (row["term"], row["edits"]): (row["toxic"] + PRIOR_ROWS * EDIT_WEIGHT[row["edits"]])
+        / (row["toxic"] + row["clean"] + PRIOR_ROWS)
+        for row in counts.collect()
+    }
+    return Lexicon(terms, stems, known, misspelled)
 
 
 def toxicity_scores(docs: DataFrame, lexicon: Lexicon, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -381,6 +492,6 @@ def toxicity_scores(docs: DataFrame, lexicon: Lexicon, text: str = "text", thres
             yield pa.array([scorer.score(value) for value in texts.to_pylist()], pa.float64())
 
     others = [F.col(f"`{name}`") for name in docs.columns if name not in ("score", "predicted")]
-    return docs.select(*others, score(F.col(text)).alias("score")).withColumn(
+    return docs.select(*others, score(F.col(f"`{text}`")).alias("score")).withColumn(
         "predicted", (F.col("score") >= threshold).cast("int")
     )
