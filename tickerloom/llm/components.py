@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -14,6 +14,14 @@ BITMAP_BITS = 1 << 26  # 8 MB, whatever the number of keys
 _BUCKET_BITS = 32_768  # of Spark's bitmap functions
 
 
+def unused_name(taken: Iterable[str], name: str) -> str:
+    """A column name like ``name`` that none of ``taken`` is, whatever its case."""
+    used = {other.lower() for other in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 class UnionFind:
     """Sets of nodes; the least node of a set stands for it."""
 

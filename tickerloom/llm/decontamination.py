@@ -330,7 +330,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
 def remove_passages(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """Rows with the benchmark passages cut out of ``text``; other columns stay, and so do all
     rows, their text unchanged where nothing is found. A line break takes the place of a span."""
-    found = find_passages(docs, benchmark, text=text, **options)
+    places = {name: f"c{place}" for place, name in enumerate(docs.columns)}  # no name clashes with ours
+    where = places[text]
+    found = find_passages(docs.toDF(*places.values()), benchmark, text=where, **options)
 
     @F.arrow_udf("string")
     def cut(values: pa.Array, passages: pa.Array) -> pa.Array:
@@ -342,9 +344,9 @@ def remove_passages(docs: DataFrame, benchmark: DataFrame, text: str = "text", *
             pa.string(),
         )
 
-    changed = F.when(F.size("passages.items") > 0, cut(F.col(text), F.col("passages"))).otherwise(F.col(text))
+    changed = F.when(F.size("passages.items") > 0, cut(F.col(where), F.col("passages"))).otherwise(F.col(where))
     return found.select(
-        *[changed.alias(name) if name == text else F.col(f"`{name}`") for name in docs.columns if name != "passages"]
+        *[(changed if name == text else F.col(place)).alias(name) for name, place in places.items()]
     )
 
 

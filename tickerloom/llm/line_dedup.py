@@ -151,7 +151,7 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         offsets = np.concatenate([[0], np.cumsum(np.where(fresh, BANDS, 0))]) if fresh else np.zeros(1)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(doc_ids, pa.int64()),
+                pa.array(doc_ids, batch.schema.field(0).type),
                 pa.array(numbers, pa.int32()),
                 pa.array(digests, pa.binary()),
                 pa.array(list(map(_short, digests)), pa.int64()),
@@ -399,15 +399,16 @@ def duplicate_lines(docs: DataFrame, ident: str = "doc_id", text: str = "text",
     white space as single blanks. Lines of a Jaccard similarity of ``similarity`` or more are linked,
     and of each connected component the line of the least (id, number) stays. Blank lines are never
     duplicates; null and empty texts have none. Lines shorter than a shingle match only equal ones.
-    A null id is the least id. Rows that repeat an id share one answer: a number that is a
+    Ids are of any orderable type; a null id is the least id. Rows that repeat an id share one answer: a number that is a
     duplicate in one of them is listed for the id.
 
     Exact copies are joined by a digest of 16 bytes and travel once. Texts are read a second time
     for the candidates only, which a bitmap of fixed size picks out beforehand.
     """
-    rows = docs.select(F.col(ident).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(f"`{ident}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
     occurrences = materialise(
-        rows.mapInArrow(_occurrences, "doc_id long, line int, digest binary, short long, bands array<long>"),
+        rows.mapInArrow(_occurrences, f"doc_id {kind}, line int, digest binary, short long, bands array<long>"),
         "lines",
     )
     buckets = materialise(_buckets(occurrences), "buckets")
@@ -463,8 +464,8 @@ def line_counts(docs: DataFrame, ident: str = "doc_id", text: str = "text", **op
     :func:`duplicate_lines`. Blank lines count; a null text has none, an empty one a blank line."""
     removed = duplicate_lines(docs, ident, text, **options)
     slim = docs.select(
-        F.col(ident).alias("doc_id"),
-        F.coalesce(F.size(F.split(F.col(text), "\n", -1)), F.lit(0)).alias("n_lines"),
+        F.col(f"`{ident}`").alias("doc_id"),
+        F.coalesce(F.size(F.split(F.col(f"`{text}`"), "\n", -1)), F.lit(0)).alias("n_lines"),
     )
     counted = _with_removed(slim, removed, "doc_id").withColumn(
         "_removed", F.filter("_removed", lambda line: line < F.col("n_lines"))
@@ -478,12 +479,13 @@ def dedup_lines(docs: DataFrame, ident: str = "doc_id", text: str = "text", **op
     """``docs`` without the duplicate lines of :func:`duplicate_lines`. Rows of which no line but
     blank ones would be left go; rows without duplicates stay as they are."""
     removed = duplicate_lines(docs, ident, text, **options)
-    joined = _with_removed(docs, removed, ident)
-    lines = F.split(F.col(f"`{text}`"), "\n", -1)
+    places = {name: f"c{place}" for place, name in enumerate(docs.columns)}  # no name clashes with ours
+    joined = _with_removed(docs.toDF(*places.values()), removed, places[ident])
+    lines = F.split(places[text], "\n", -1)
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_removed"))
     shorter = F.array_join(F.transform(left, lambda number: F.get(lines, number)), "\n")
-    cut = (F.size("_removed") > 0) & F.col(f"`{text}`").isNotNull()
-    changed = joined.withColumn("_text", F.when(cut, shorter).otherwise(F.col(f"`{text}`")))
+    cut = (F.size("_removed") > 0) & F.col(places[text]).isNotNull()
+    changed = joined.withColumn("_text", F.when(cut, shorter).otherwise(F.col(places[text])))
     return changed.where(~cut | F.col("_text").rlike("\\S")).select(
-        *[F.col("_text").alias(name) if name == text else F.col(f"`{name}`") for name in docs.columns]
+        *[F.col("_text" if name == text else place).alias(name) for name, place in places.items()]
     )

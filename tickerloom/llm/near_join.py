@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tickerloom.session import materialise
 
-from .components import UnionFind, bitmap_of, connected_components, is_set, spread_bit
+from .components import UnionFind, bitmap_of, connected_components, is_set, spread_bit, unused_name
 from .decontamination import words
 from .line_dedup import mixed
 
@@ -311,7 +311,7 @@ def near_join(
     Rows are linked if the sets of five-word shingles of their texts (words as in
     ``decontamination.words``) have a Jaccard similarity of ``similarity`` or more; ``n_links`` is
     the number of other rows a row is linked to, copies counted, and ``class_id`` the least id of
-    its connected component. A text of fewer than five words is one shingle. Null and empty texts,
+    its connected component; ids are of any orderable type. A text of fewer than five words is one shingle. Null and empty texts,
     and texts without words, have no set: each is a class of its own without links. Rows that
     repeat, or have one id and different texts, are copies or texts like others; null ids too, but
     they are never the least id, so a class of null ids only has a null class id. Other columns
@@ -322,9 +322,10 @@ def near_join(
     more than two, and no pair is written, only counts and at most one edge a set and group. A pair
     that meets in several leaves counts in the least of them.
     """
-    rows = docs.select(F.col(ident).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(f"`{ident}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
     slim = materialise(
-        rows.mapInArrow(_sets, "doc_id long, content binary, signature array<int>"), "sets"
+        rows.mapInArrow(_sets, f"doc_id {kind}, content binary, signature array<int>"), "sets"
     )
     copies = materialise(
         slim.where(F.col("content").isNotNull())
@@ -389,7 +390,8 @@ def keep_one_of_each(docs: DataFrame, ident: str = "doc_id", text: str = "text",
     """Rows of ``docs`` whose id is the class id of :func:`near_join`, in whole; of rows with the
     same id and text one stays. Rows with a null id stay, as nothing tells them apart."""
     found = near_join(docs, ident, text, **options)
-    kept = found.where("doc_id = class_id").select(F.col("doc_id").alias("_kept")).distinct()
+    name = unused_name(docs.columns, "_kept")
+    kept = found.where("doc_id = class_id").select(F.col("doc_id").alias(name)).distinct()
     others = docs.where(F.col(f"`{ident}`").isNull())
-    chosen = docs.join(kept, F.col(f"`{ident}`") == F.col("_kept"), "left_semi")
+    chosen = docs.join(kept, F.col(f"`{ident}`") == F.col(name), "left_semi")
     return chosen.dropDuplicates([ident, text]).unionByName(others)

@@ -17,6 +17,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .components import unused_name
+
 TOKEN_LIMIT = 1024
 
 # The pretoken pattern and byte alphabet of the byte-level vocabularies, with white
@@ -191,12 +193,13 @@ def token_counts(
             )
 
     others = [F.col(f"`{name}`") for name in docs.columns if name not in _ADDED]
-    counted = docs.select(*others, counts(F.col(text)).alias("_counts"))
+    found = unused_name(docs.columns, "_counts")
+    counted = docs.select(*others, counts(F.col(f"`{text}`")).alias(found))
     return counted.select(
         *others,
-        F.col("_counts.n_bytes").alias("n_bytes"),
-        F.col("_counts.n_tokens").alias("n_tokens"),
-        (F.col("_counts.n_tokens") > limit).alias("over_limit"),
+        F.col(found)["n_bytes"].alias("n_bytes"),
+        F.col(found)["n_tokens"].alias("n_tokens"),
+        (F.col(found)["n_tokens"] > limit).alias("over_limit"),
     )
 
 
