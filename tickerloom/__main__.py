@@ -52,7 +52,7 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument("--merged-csv", help="also write the merged panel as CSV")
     options.add_argument("--cutoff", help="test on days from this one on")
     options.add_argument("--trees", type=int, default=model.TREES)
-    options.add_argument("--depth", type=int, default=model.DEPTH)
+    options.add_argument("--depth", type=int, default=model.DEPTH, help="without it, trees grow in full")
     return options
 
 

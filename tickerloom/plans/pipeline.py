@@ -70,7 +70,7 @@ class Settings:
     nested: bool = False
     date_formats: Sequence[str] = ()
     trees: int = model.TREES
-    depth: int = model.DEPTH
+    depth: int | None = model.DEPTH  # of the trees; None grows them until their leaves are pure
     seed: int = model.SEED
     test_percent: int = 20
     cutoff: str | None = None  # split by date instead of by class
