@@ -381,3 +381,29 @@ having count(*) > 0""",
     ),
     "stream_page_load": _with("uniq", _finite("uniq")),
 }
+
+# Four digits for the scores, two for the table, cells of ten places.
+ORACLES["report_text"] = f"""
+with scores as ({ORACLES["binary_metrics"]}), report as ({ORACLES["classification_report"]}),
+lines as (
+  select 0 as line_no, 'Model Evaluation Report' as line
+  union all select 1, repeat('=', 23)
+  union all select 3, 'target 1: the next close is above this close; target 0: it is not'
+  union all select 5, 'Accuracy  : ' || printf('%.4f', cast(accuracy as double)) from scores
+  union all select 6, 'Precision : ' || printf('%.4f', cast("precision" as double)) from scores
+  union all select 7, 'Recall    : ' || printf('%.4f', cast(recall as double)) from scores
+  union all select 8, 'F1        : ' || printf('%.4f', cast(f1 as double)) from scores
+  union all select 10, repeat(' ', 13) || ' precision    recall  f1-score   support'
+  union all
+  select case section when '0' then 12 when '1' then 13 when 'macro avg' then 16 else 17 end,
+    lpad(section, 12, ' ') || ' ' || printf('%10.2f', cast("precision" as double))
+    || printf('%10.2f', cast(recall as double)) || printf('%10.2f', cast(f1 as double))
+    || lpad(cast(support as varchar), 10, ' ')
+  from report where section <> 'accuracy'
+  union all
+  select 15, lpad(section, 12, ' ') || repeat(' ', 21) || printf('%10.2f', cast(f1 as double))
+    || lpad(cast(support as varchar), 10, ' ') from report where section = 'accuracy'
+  union all select unnest([2, 4, 9, 11, 14]), ''
+)
+select cast(line_no as integer) as line_no, line from lines"""
+ORACLES["guarded_run"] = ORACLES["scan_company_files"]

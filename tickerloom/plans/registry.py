@@ -25,7 +25,7 @@ from ..session import create_empty_file, fresh_path, materialise, store
 from ..sources import pages, tables
 from ..sources.company_files import refresh_company_files, scan_company_files
 from ..streaming import company_load, daily_append, page_load
-from . import event_panel
+from . import event_panel, pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -294,6 +294,28 @@ def classification_report(spark, folder):
     return metrics.classification_report(_table(spark, folder, "labels"), "quality", "toxic")
 
 
+def report_text(spark, folder):
+    """The lines of the report on the labels, as the flow writes them."""
+    rows = materialise(metrics.confusion(_table(spark, folder, "labels"), "quality", "toxic"), "confusion")
+    text = metrics.render_report(
+        metrics.binary_from_counts(rows), metrics.report_from_counts(rows), pipeline.Settings.title
+    )
+    return spark.createDataFrame(list(enumerate(text.splitlines())), "line_no int, line string")
+
+
+def guarded_run(spark, folder):
+    """What an earlier run stored, after a run on a folder without a usable row: it stops and leaves
+    everything as it was."""
+    base, companies_folder = fresh_path(spark, "base"), fresh_path(spark, "companies")
+    hand_over = pipeline.HandOver(f"{base}/tables")
+    hand_over.save(event_panel.raw(spark, folder).transform(clean.nonfinite_to_null), pipeline.RAW)
+    create_empty_file(spark, f"{companies_folder}/EMPTY.csv")
+    chosen = pipeline.Settings(companies_folder, hand_over, f"{base}/model", f"{base}/report")
+    if pipeline.run(spark, chosen) is not None:
+        raise ValueError("a folder without rows gave a report")
+    return hand_over.load(spark, pipeline.RAW)
+
+
 def stratified_split(spark, folder):
     rows = materialise(processed(spark, folder), "processed")
     return split.stratified_split(
@@ -585,6 +607,8 @@ QUERIES: dict[str, Query] = {
     "confusion": confusion,
     "binary_metrics": binary_metrics,
     "classification_report": classification_report,
+    "report_text": report_text,
+    "guarded_run": guarded_run,
     "stratified_split": stratified_split,
     "split_by_date": split_by_date,
     "forest_report": forest_report,
