@@ -91,6 +91,29 @@ def test_vector_search_equals_brute_force(spark, monkeypatch):
     assert vector_search.exact_top_k(vectors.limit(0), vectors).collect() == []
 
 
+@pytest.mark.parametrize("cells", [1, 3, 128])
+def test_vector_search_with_few_cells_repeated_ids_and_large_values(spark, monkeypatch, cells):
+    """Loose bounds, a hot vector, ids that repeat with one or several vectors, values up to 1e6."""
+    monkeypatch.setattr(vector_search, "SLAB_ROWS", 64)
+    monkeypatch.setattr(vector_search, "_AT_ONCE", 3)
+    rnd = random.Random(cells)
+    rows = [(i, [rnd.gauss(0, 1) * rnd.choice([1, 1, 1e6]) for _ in range(4)]) for i in range(120)]
+    hot = rows[7][1]
+    rows += [(i, hot) for i in range(400, 520)] + [(10, hot)] * 8 + [(20, rows[30][1])] * 3 + [(20, rows[31][1])]
+    rows += [(-5, [0.0] * 4), (-5, [0.0] * 4)]
+    rnd.shuffle(rows)
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = vector_search.exact_top_k(vectors, vectors.where("vec_id % 10 = 0 or vec_id < 0"), cells=cells).collect()
+    whole = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in rows]
+    expected = []
+    for query in {i for i, _ in rows if i % 10 == 0 or i < 0}:
+        scored = []
+        for wanted in {tuple(v) for i, v in whole if i == query}:
+            scored += [(-sum(map(int.__mul__, wanted, v)), i) for i, v in whole if i != query]
+        expected += [(query, rank, i, -score) for rank, (score, i) in enumerate(sorted(scored)[:5], 1)]
+    assert sorted(tuple(row) for row in found) == sorted(expected)
+
+
 # line dedup and components
 
 
