@@ -320,6 +320,57 @@ def test_more_licences_are_told_apart(docs):
     assert {r["doc_id"]: (r["licenses"], r["unmatched"]) for r in scanned} == {n: ([licence], 0) for n, _, licence in rows}
 
 
+def test_tags_and_versions(docs):
+    notice = "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0\nInternational License."
+    rows = [
+        (1, "// SPDX-License-Identifier: GPL-2.0-only\n#include <x.h>\n"),
+        (2, "/* SPDX-License-Identifier: MIT */\nint x;\n# SPDX-License-Identifier: Apache-2.0"),
+        (3, "# SPDX-License-Identifier: BSD-3-Clause\nimport os"),
+        (4, notice),
+        (5, GPL_NOTICE + "\n\nLicensed under CC BY-NC 3.0.\nLicensed under CC BY-NC 4.0."),
+        (6, "SPDX-License-Identifier: LGPL-2.1-or-later\nCC0 1.0 Universal"),
+        (7, "The SPDX-License-Identifier: MIT is a tag."),
+        (8, "SPDX-License-Identifier: GPL-3.0\r\nAll rights reserved."),
+        (9, None),
+    ]
+    found = {r["doc_id"]: (r["licenses"], r["versioned"], r["unmatched"]) for r in license_scan.licence_scan(docs(rows)).collect()}
+    assert found == {
+        1: (["GPL-only"], ["GPL-2.0-only"], 0),
+        2: (["Apache", "MIT"], ["Apache-2.0", "MIT"], 0),
+        3: (["BSD-3-Clause"], ["BSD-3-Clause"], 0),
+        4: (["CC-BY-SA"], ["CC-BY-SA-4.0"], 0),
+        5: (["CC-BY-NC", "GPL-or-later"], ["CC-BY-NC-3.0", "CC-BY-NC-4.0", "GPL-3-or-later"], 0),
+        6: (["CC0", "LGPL-or-later"], ["CC0-1.0", "LGPL-2.1-or-later"], 0),
+        7: ([], [], 0),
+        8: (["GPL"], ["GPL-3.0"], 1),
+        9: ([], [], 0),
+    }
+
+
+def test_licence_sql_equals_the_operator_on_wrapped_notices(docs):
+    import textwrap
+
+    import duckdb
+
+    from tickerloom.llm.queries import ORACLES
+
+    texts = [None, "", "All rights reserved.", "SPDX-License-Identifier: BSD-2-Clause\nx", "Licensed under CC BY 4.0."]
+    for width in (25, 40, 72):
+        filled = "\n\n".join(textwrap.fill(part, width) for part in GPL_NOTICE.split("\n\n"))
+        texts += [filled, "\n".join(f"# {line}" for line in filled.split("\n")), filled.replace("General", "Lesser General")]
+        texts += [f"Prose before. {filled}\n\nReleased under the MIT License.\nAll rights reserved. {filled}"]
+    rows = list(enumerate(texts))
+    ours = license_scan.licence_scan(docs(rows)).drop("text").collect()
+    connection = duckdb.connect()
+    connection.execute("create table documents (doc_id bigint, text varchar)")
+    connection.executemany("insert into documents values (?, ?)", rows)
+    result = connection.execute(ORACLES["op5_license_scan"])
+    names = [column[0] for column in result.description]
+    theirs = sorted((dict(zip(names, row)) for row in result.fetchall()), key=lambda row: row["doc_id"])
+    assert sorted((row.asDict() for row in ours), key=lambda row: row["doc_id"]) == theirs
+    assert sum("GPL-3-or-later" in row["versioned"] for row in theirs) == 9
+
+
 # languages
 
 

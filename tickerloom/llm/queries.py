@@ -118,7 +118,7 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return license_scan.licence_scan(docs).select("doc_id", "sentence_ids", "licenses", "unmatched")
+    return license_scan.licence_scan(docs).select("doc_id", "sentence_ids", "licenses", "versioned", "unmatched")
 
 
 def _license_oracle() -> str:
@@ -126,36 +126,47 @@ def _license_oracle() -> str:
         return "'" + value.replace("'", "''") + "'"
 
     table = ", ".join(f"{text(k)}: {text(v)}" for k, v in license_scan.SENTENCES.items())
+    # Bars are doubled, so that two neighbouring sentences have one each between them.
+    runs = text(r"\|(" + license_scan.any_sentence(license_scan.SENTENCES, r"(?: |\|\|)") + r")\|")
     steps, previous = [], "ids"
     for number, (licence, identifiers) in enumerate(license_scan.RULES):
-        pattern = text("".join(f"<{name}>" for name in identifiers))
+        pattern, parts = text(license_scan.rule_pattern(identifiers)), license_scan.name_parts(licence)
+        name = text(licence)
+        if parts:
+            name = f"if(v = '', {name}, {text(parts[0])} || v || {text(parts[1])})"
         steps.append(
-            f"s{number} as (select * replace (replace(seq, {pattern}, '|') as seq), "
-            f"case when contains(seq, {pattern}) then list_append(found, {text(licence)}) "
-            f"else found end as found_{number} from {previous})"
+            f"s{number} as (select doc_id, sentence_ids, regexp_replace(seq, {pattern}, '|', 'g') as seq, "
+            f"case when regexp_matches(seq, {pattern}) then list_append(found, {text(licence)}) "
+            f"else found end as found, list_concat(versioned, "
+            f"list_transform(regexp_extract_all(seq, {pattern}, 1), lambda v: {name})) as versioned from {previous})"
         )
-        steps.append(
-            f"t{number} as (select * exclude (found, found_{number}), found_{number} as found from s{number})"
-        )
-        previous = f"t{number}"
-    first, second = (pattern.replace("\\\\", "\\") for pattern in license_scan.ENDS)
+        previous = f"s{number}"
+    line, first, second = text(license_scan.TAG_LINE), text(license_scan.ENDS[0]), text(license_scan.ENDS[1])
+    version = text(license_scan.VERSION)
     return f"""
 with cut as (
-  select doc_id, regexp_replace(regexp_replace(coalesce(text, '') || chr(10) || chr(10),
-    {text(first)}, chr(31) || '\\1', 'g'), {text(second)}, chr(31) || '\\1', 'g') as text
+  select doc_id, regexp_replace(regexp_replace(regexp_replace(coalesce(text, '') || chr(10) || chr(10),
+    {line}, '\\1' || chr(31) || chr(10), 'g'),
+    {first}, chr(31) || '\\1', 'g'), {second}, chr(31) || '\\1', 'g') as text
   from documents
-), parts as (
-  select doc_id, list_transform(string_split(text, chr(31)), lambda p: trim(regexp_replace(regexp_replace(
-    translate(p, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[0-9]+', '0', 'g'), '[^a-z0]+', ' ', 'g'))) as parts from cut
+), marked as (
+  select doc_id, regexp_replace(chr(31) || regexp_replace(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^a-z0-9\x1f]+', ' ', 'g') || chr(31), ' ?\x1f[ \x1f]*', '||', 'g') as text from cut
+), runs as (
+  select doc_id, list_transform(regexp_extract_all(text, {runs}, 1), lambda p: replace(p, '||', ' ')) as runs
+  from marked
 ), known as (
-  select doc_id, list_filter(list_transform(parts, lambda p: (map {{{table}}})[p]), lambda p: p is not null)
-    as sentence_ids from parts
+  select doc_id, runs, list_transform(runs, lambda p:
+    coalesce((map {{{table}}})[p], (map {{{table}}})[regexp_replace(p, '[0-9]+', '0', 'g')])) as sentence_ids
+  from runs
 ), ids as (
-  select *, coalesce(array_to_string(list_transform(sentence_ids, lambda p: '<' || p || '>'), ''), '') as seq,
-    cast([] as varchar[]) as found from known
+  select doc_id, sentence_ids, coalesce(array_to_string(list_transform(list_zip(sentence_ids, runs), lambda p:
+    '<' || p[1] || ':' || replace(regexp_extract(p[2], {version}, 1), ' ', '.') || '>'), ''), '') as seq,
+    cast([] as varchar[]) as found, cast([] as varchar[]) as versioned from known
 ), {", ".join(steps)}
 select doc_id, sentence_ids, list_sort(list_distinct(found)) as licenses,
+  list_sort(list_distinct(versioned)) as versioned,
   cast(length(seq) - length(replace(seq, '<', '')) as integer) as unmatched
 from {previous}
 """
