@@ -126,3 +126,10 @@ def test_batches_equal_a_recount(spark, shard_rows):
         members.sort()
         assert [m[2] for m in members] == sorted(m[2] for m in members)
         assert [m[:2] for m in members] == [divmod(n, budget // bucket) for n in range(len(members))]
+
+
+def test_rows_of_one_id_and_length_are_dealt_into_shards(spark):
+    frame = spark.range(3000).selectExpr("cast(null as long) as doc_id", "'three words here' as text")
+    found = packing.length_buckets(frame, shard_rows=100).collect()
+    shards = Counter(r["batch"].split("-")[1] for r in found)
+    assert len(found) == 3000 and len(shards) == 30 and max(shards.values()) < 200

@@ -77,14 +77,19 @@ def length_buckets(
     An empty table gives none. Columns but the two named are ignored.
 
     The histogram has at most ``max_length`` rows whatever the input, and only it reaches the driver.
-    A bucket may hold most rows: its sequences are dealt by a hash into shards of about
-    ``shard_rows`` which are numbered apart, each leaving at most one batch that is not full.
+    A bucket, or one id or none, may hold most rows: sequences are dealt by a hash of the number of
+    their stored row into shards of about ``shard_rows`` which are numbered apart, each leaving at most one batch that is not full.
     """
     if not 0 < max_length <= budget:
         raise ValueError("max_length must be between 1 and the token budget")
     total = F.col("_total")
     rows = materialise(
-        docs.select(F.col(ident).alias("doc_id"), word_count(F.col(text)).alias("_total")), "lengths"
+        docs.select(
+            F.col(ident).alias("doc_id"),
+            word_count(F.col(text)).alias("_total"),
+            F.monotonically_increasing_id().alias("_row"),
+        ),
+        "lengths",
     ).where(total > 0)
     pieces = F.expr(f"(_total + {max_length - 1}) div {max_length}")
     # Of a text of several sequences all but the last are full: counted without expanding them.
@@ -120,11 +125,11 @@ def length_buckets(
     shards = {b: -(-n // shard_rows) for b, n in sizes.items()}
     places = {b: max(1, budget // b) for b in boundaries}
     number = F.row_number().over(
-        Window.partitionBy("bucket", "_shard").orderBy("doc_id", "piece", "n_tokens")
+        Window.partitionBy("bucket", "_shard").orderBy("doc_id", "piece", "n_tokens", "_row")
     ) - F.lit(1)
     return (
         rows.withColumn("_pieces", pieces)
-        .select("doc_id", "_total", "_pieces", F.explode(F.sequence(F.lit(0), F.col("_pieces").cast("int") - 1)).alias("piece"))
+        .select("doc_id", "_row", "_total", "_pieces", F.explode(F.sequence(F.lit(0), F.col("_pieces").cast("int") - 1)).alias("piece"))
         .withColumn(
             "n_tokens",
             F.when(F.col("piece") < F.col("_pieces") - 1, F.lit(max_length).cast("long")).otherwise(
@@ -133,7 +138,7 @@ def length_buckets(
         )
         .withColumn("bucket", by_bucket({b: b for b in boundaries}))
         .withColumn("_places", by_bucket(places))
-        .withColumn("_shard", F.pmod(F.xxhash64("doc_id", "piece", "_total"), by_bucket(shards)))
+        .withColumn("_shard", F.pmod(F.xxhash64("_row", "piece"), by_bucket(shards)))
         .withColumn("_number", number)
         .select(
             "doc_id",
