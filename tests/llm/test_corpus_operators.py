@@ -459,6 +459,18 @@ def test_lattice_sums_over_all_segmentations():
     assert np.isclose(lattice.expected([b"a"]).sum(), sum([2 * 1 / 28 * 3 / 28, 2 / 28]) / brute(b" a"))
 
 
+def test_long_words_are_fitted_and_scored_like_others(monkeypatch):
+    """``abc`` makes ``ab`` the beginning of a piece that is none itself."""
+    pieces = sorted([b" ", b"a", b"b", b"c", b"abc", b" a"])
+    lattice = subword_lm.Lattice(pieces, np.arange(1, 7) / 21.0)
+    words = [b"a", b"abcab", b"cabcabcb", b"abababcc"]
+    counts, scores = lattice.expected(words), lattice.log_marginal(words)
+    monkeypatch.setattr(subword_lm, "_LONG", 3)
+    assert np.allclose(lattice.expected(words), counts) and np.allclose(lattice.log_marginal(words), scores)
+    long = b"abcab" * 1_000
+    assert np.isclose(lattice.expected([long]) @ [len(piece) for piece in pieces], 5_001)
+
+
 @pytest.mark.parametrize("frequent", [100_000, 3, 0])
 def test_base_scores_equal_brute_force(docs, frequent):
     rows = [(n, " ".join(prose(n, 20))) for n in range(40)] + [(100, None), (101, ""), (102, "Neu\tneu neu"), (102, "Neu\tneu neu")]

@@ -134,26 +134,45 @@ class Lattice:
                 result[part] = self._forward(self._edges(block, length), len(block), length)[length]
         return result
 
+    def _pieces_at(self, word: bytes, start: int) -> Iterator[tuple[int, int]]:
+        """End and number of each piece that begins at ``start``."""
+        for end in range(start + 1, min(len(word), start + self.longest) + 1):
+            number = self.number.get(word[start:end], _NOTHING)
+            if number >= 0:
+                yield end, number
+            elif number == _NOTHING:
+                return
+
+    def _forward_long(self, word: bytes) -> list[float]:
+        """As ``_forward`` for one word of any length: a number a byte, no lists of edges."""
+        alpha = [-np.inf] * (len(word) + 1)
+        alpha[0] = 0.0
+        for start in range(len(word)):
+            for end, piece in self._pieces_at(word, start):
+                alpha[end] = np.logaddexp(alpha[end], alpha[start] + self.log_p[piece])
+        return alpha
+
     def _long(self, word: bytes) -> float:
-        """One word of any length, keeping only the last ends a piece can reach."""
-        recent = [0.0]  # log probability of the ends before, latest last
-        for end in range(1, len(word) + 1):
-            total = -np.inf
-            for back in range(1, min(self.longest, end) + 1):
-                piece = self.number.get(word[end - back : end])
-                if piece is not None:
-                    total = np.logaddexp(total, recent[-back] + self.log_p[piece])
-            recent.append(total)
-            if len(recent) > self.longest:
-                del recent[0]
-        return float(recent[-1])
+        return float(self._forward_long(word)[-1])
+
+    def _expected_long(self, word: bytes, total: np.ndarray) -> None:
+        """Add the expected number of each piece in one word of any length."""
+        alpha = self._forward_long(word)
+        beta = [-np.inf] * len(word) + [0.0]
+        for start in range(len(word) - 1, -1, -1):
+            for end, piece in self._pieces_at(word, start):
+                way = self.log_p[piece] + beta[end]
+                beta[start] = np.logaddexp(beta[start], way)
+                total[piece] += np.exp(alpha[start] + way - alpha[-1])
 
     def expected(self, found: list[bytes]) -> np.ndarray:
-        """Expected number of each piece in the words. Words of more than ``_LONG`` bytes, which
-        say nothing about pieces, add nothing."""
+        """Expected number of each piece in the words. Words of more than ``_LONG`` bytes are taken
+        one by one, which bounds the memory and gives the same numbers."""
         total = np.zeros(len(self.pieces))
         for _, block, length in self._blocks([b" " + word for word in found]):
             if length > _LONG:
+                for word in block:
+                    self._expected_long(word, total)
                 continue
             edges = self._edges(block, length)
             alpha = self._forward(edges, len(block), length)
