@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tickerloom.sources import company_files, pages, tables
 
 HEADER = "published_date,open,high,low,close,per_change,traded_quantity,traded_amount,status"
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 LINE = "2024-01-02,1.0,4.0,0.5,2.0,nan,10.0,20.0,-1"
 
 
@@ -98,6 +99,23 @@ def test_symbol_from_a_folder_name(spark, tmp_path):
     assert scan.rows().first()["symbol"] == "007"
 
 
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
+    for n in range(80):
+        (tmp_path / f"symbol=S{n}").mkdir()
+        (tmp_path / f"symbol=S{n}" / "part 0.csv").write_text(f"{HEADER}\n{LINE}\n" if n else "")
+    context, before = spark.sparkContext, spark.conf.get(LISTING_TASKS)
+    context.setJobGroup("many folders", "")
+    try:
+        scan = company_files.scan_company_files(spark, str(tmp_path), r"symbol=([^/]+)/[^/]+\.csv$", nested=True)
+        audit = [row["row_count"] for row in scan.audit().collect()]
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(audit) == [0] + [1] * 79 and spark.conf.get(LISTING_TASKS) == before
+    tracker = context.statusTracker()
+    stages = [stage for job in tracker.getJobIdsForGroup("many folders") for stage in tracker.getJobInfo(job).stageIds]
+    assert max(tracker.getStageInfo(stage).numTasks for stage in stages) < 80
+
+
 @pytest.mark.parametrize("exists", [True, False])
 def test_nothing_to_scan(spark, tmp_path, exists):
     place = tmp_path / "none"

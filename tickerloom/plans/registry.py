@@ -21,7 +21,7 @@ from ..operators import (
     split,
 )
 from ..schema import DATE, SYMBOL, TARGET
-from ..session import create_empty_file, fresh_path, materialise, store
+from ..session import create_empty_file, folder_writer, fresh_path, materialise, store
 from ..sources import pages, tables
 from ..sources.company_files import refresh_company_files, scan_company_files
 from ..streaming import company_load, daily_append, page_load
@@ -394,16 +394,12 @@ def _write_company_files(spark, folder, path: str | None = None, part: Column |
     path = path or fresh_path(spark, "companies")
     rows = event_panel.raw(spark, folder)
     rows = rows if part is None else rows.where(part)
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     second_form = F.pmod(F.xxhash64(SYMBOL), F.lit(2)) == 1
     titled = {name: name.replace("_", " ").title() for name in rows.columns if name != SYMBOL}
     turned = [SYMBOL, *[F.col(name).alias(f" {titled[name]}.") for name in reversed(titled)]]
     for part in (rows.where(~second_form), rows.where(second_form).select(*turned)):
-        # One file per symbol; a symbol has at most two rows a day. The number of tasks is given,
-        # as the cost lies in the files and not in their bytes.
-        part.repartition(tasks, SYMBOL).write.mode("append").partitionBy(SYMBOL).csv(
-            path, header=True
-        )
+        # One file per symbol; a symbol has at most two rows a day.
+        folder_writer(part, SYMBOL).mode("append").csv(path, header=True)
     return path
 
 
@@ -424,10 +420,9 @@ def scan_undated_files(spark, folder):
     and date, rows without a date after the others."""
     path = fresh_path(spark, "companies")
     rows = event_panel.raw(spark, folder)
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     undated = F.substring(SYMBOL, 2, 20).cast("bigint") % 3 == 1
     for part in (rows.where(~undated), rows.where(undated).drop(DATE)):
-        part.repartition(tasks, SYMBOL).write.mode("append").partitionBy(SYMBOL).csv(path, header=True)
+        folder_writer(part, SYMBOL).mode("append").csv(path, header=True)
     found = _usable_rows(scan_company_files(spark, path, symbol_pattern=_SYMBOL_FOLDER, nested=True))
     return found.transform(ordering.with_position)
 
@@ -449,7 +444,7 @@ def incremental_scan(spark, folder):
         _write_company_files(spark, folder, path, ~replaced)
         scan()
         rows = event_panel.raw(spark, folder).where(replaced)
-        rows.repartition(8, SYMBOL).write.mode("overwrite").partitionBy(SYMBOL).csv(path, header=True)
+        folder_writer(rows, SYMBOL).mode("overwrite").csv(path, header=True)
     finally:
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
     return _usable_rows(scan())
@@ -559,14 +554,13 @@ def restart_one_company(spark, folder):
     pattern = r"symbol=([^/]+)/[^/]+\.json$"
     number = F.substring(SYMBOL, 2, 20).cast("bigint")
     answers = materialise(_answers(spark, folder), "answers")
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     deliveries = (answers, answers.where(number % 5 == 2))
     restarted: list[str] = []
     for delivery in deliveries:
-        delivery.repartition(tasks, SYMBOL).write.mode("append").partitionBy(SYMBOL).json(landing)
+        folder_writer(delivery, SYMBOL).mode("append").json(landing)
         restarted = company_load.load_company_pages(spark, landing, staged, progress, pattern)
         spoilt = answers.where(number % 10 == 3).select(SYMBOL, F.lit('{"path": "cut sho').alias("value"))
-        spoilt.distinct().write.mode("append").partitionBy(SYMBOL).text(progress)
+        folder_writer(spoilt.distinct(), SYMBOL).mode("append").text(progress)
     again = spark.createDataFrame([(symbol, True) for symbol in restarted], "symbol string, restarted boolean")
     counts = company_load.staged_rows(spark, staged).groupBy(SYMBOL).agg(F.count(F.lit(1)).alias("staged"))
     return counts.join(again, SYMBOL, "left").withColumn("restarted", F.coalesce("restarted", F.lit(False)))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import types as T
 
 
@@ -64,6 +66,34 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(store(df, name))
 
 
+_LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+@contextmanager
+def few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """Within it, readers list many folders or files with some tasks a core. By default Spark gives
+    each of them, up to 10,000, a task of its own."""
+    before = spark.conf.get(_LISTING_TASKS, None)
+    some = max(32, 4 * spark.sparkContext.defaultParallelism)
+    spark.conf.set(_LISTING_TASKS, str(min(some, int(before or some))))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_LISTING_TASKS)
+        else:
+            spark.conf.set(_LISTING_TASKS, before)
+
+
+def folder_writer(df: DataFrame, column: str) -> DataFrameWriter:
+    """Writer of a folder for each value of ``column``, with one file in it. The cost lies in the files
+    and not in their bytes, so the number of tasks is given and not left to their size, and tasks
+    move their files into place themselves, not the driver one folder after the other."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.repartition(tasks, column).write.partitionBy(column)
+    return writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """A parquet folder, or no rows where it is absent."""
     try:

@@ -10,6 +10,7 @@ from functools import reduce
 from operator import or_
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from ..functions import (
     split_csv_line,
 )
 from ..schema import DATE, NUMERIC_FIELDS, PAGE_FIELDS, RAW_SCHEMA, SYMBOL
-from ..session import is_absent, materialise, read_or_empty
+from ..session import few_listing_tasks, is_absent, materialise, read_or_empty
 
 # The symbol is the file name without its ending.
 FILE_STEM = r"([^/]+)\.csv$"
@@ -79,13 +80,13 @@ def list_files(
     Spark reads no file without a byte and leaves it out of its rows, not out of its list of names:
     such a file has length 0 and no time."""
     try:
-        files = (
+        reader = (
             spark.read.format("binaryFile")
             .option("pathGlobFilter", pattern)
             .option("recursiveFileLookup", str(nested).lower())
-            .load(folder)
         )
-        names = files.inputFiles()
+        with few_listing_tasks(spark):
+            files = reader.load(folder)
     except AnalysisException as error:
         if not is_absent(error):
             raise
@@ -94,14 +95,21 @@ def list_files(
         F.col("_metadata.file_path").alias("path"), "length", F.col("modificationTime").alias("modified")
     )
     # The list and the rows differ in the slashes after the scheme.
-    listed = spark.createDataFrame([(re.sub(r"^([\w.+-]+):/+", r"\1:///", name),) for name in names], "path string")
     key = F.regexp_replace("path", r"^([\w.+-]+):/+", "$1:///").alias("path")
+    listed = spark.createDataFrame(pa.table({"path": pa.array(_input_files(files), pa.string())})).select(key)
     empty = listed.join(found.select(key), "path", "left_anti").select(
         "path", F.lit(0).cast("bigint").alias("length"), F.lit(None).cast("timestamp").alias("modified")
     )
     return found.unionByName(empty)
 
 
+def _input_files(files: DataFrame) -> list[str]:
+    """As ``inputFiles()``, which asks the JVM for each name by itself. Names are percent-encoded, so
+    none has a line end."""
+    text = files.sparkSession._jvm.scala.Predef.genericWrapArray(files._jdf.inputFiles()).mkString("\n")
+    return text.split("\n") if text else []
+
+
 def _lines(spark: SparkSession, source: str | list[str], nested: bool) -> DataFrame | None:
     """Lines of all files, stored once with their file and place; None when the folder is absent.
 
@@ -111,7 +119,8 @@ def _lines(spark: SparkSession, source: str | list[str], nested: bool) -> DataFr
         "recursiveFileLookup", str(nested).lower()
     )
     try:
-        text = reader.text(source)
+        with few_listing_tasks(spark):
+            text = reader.text(source)
     except AnalysisException as error:
         if not is_absent(error):
             raise

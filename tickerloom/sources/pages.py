@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions import clean_name_column, is_missing_text, number_from_text
 from ..schema import DATE, NUMERIC_FIELDS, PAGE_FIELDS, PAGE_ROW_NUMBER, RAW_SCHEMA, SYMBOL
+from ..session import few_listing_tasks
 from .company_files import symbol_from_path
 
 JSON_STEM = r"([^/.]+)[^/]*\.json$"
@@ -55,7 +56,9 @@ def read_pages(
 ) -> DataFrame:
     """Answers with their rows as lists of (key, value). A symbol that the answers lack is taken from
     the path."""
-    return _with_symbol(spark.read.schema(PAGE_SCHEMA).json(landing), symbol_pattern)
+    with few_listing_tasks(spark):
+        answers = spark.read.schema(PAGE_SCHEMA).json(landing)
+    return _with_symbol(answers, symbol_pattern)
 
 
 def stream_pages(spark: SparkSession, landing: str, files_per_batch: int = 1000) -> DataFrame:
