@@ -115,6 +115,15 @@ def test_slices_of_files(spark, tmp_path, landing, monkeypatch):
     assert load(spark, tmp_path) == [] and staged(spark, tmp_path) == {"S1": 1, "S2": 2, "S4": 1}
 
 
+def test_progress_is_written_by_several_tasks(spark, tmp_path, landing):
+    """However few bytes the logs have, as each company's log is a file."""
+    for n in range(24):
+        landing(f"S{n}", "1", ["2024-01-02"])
+    load(spark, tmp_path)
+    logs = [*(tmp_path / "progress").glob("symbol=*/*.txt")]
+    assert len(logs) == 24 and len({log.name[:10] for log in logs}) > 1
+
+
 def test_nothing_landed(spark, tmp_path):
     assert load(spark, tmp_path) == [] and staged(spark, tmp_path) == {}
 

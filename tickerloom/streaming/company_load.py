@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import SYMBOL
-from ..session import delete_folder, is_absent, materialise, read_or_empty
+from ..session import delete_folder, few_listing_tasks, folder_writer, is_absent, materialise, read_or_empty
 from ..sources.company_files import list_files, plain_path, symbol_from_path
 from ..sources.pages import JSON_STEM, PARSED_SCHEMA, parse_pages, read_pages
 
@@ -42,9 +42,9 @@ def _log_lines(spark: SparkSession, progress: str) -> DataFrame:
     try:
         # A damaged file has no lines, so its pages are new again.
         reader = spark.read.option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true")
-        lines = reader.text(progress).select(
-            F.col("value").alias("_line"), F.col("_metadata.file_path").alias("_file")
-        )
+        with few_listing_tasks(spark):
+            lines = reader.text(progress)
+        lines = lines.select(F.col("value").alias("_line"), F.col("_metadata.file_path").alias("_file"))
     except AnalysisException as error:
         if not is_absent(error):
             raise
@@ -60,7 +60,11 @@ def _log_lines(spark: SparkSession, progress: str) -> DataFrame:
 
 def broken_companies(spark: SparkSession, progress: str) -> DataFrame:
     """Companies with an unreadable line in their progress log, and the log's folder."""
-    return _log_lines(spark, progress).where("_broken").select(SYMBOL, "_folder").distinct()
+    return _broken(_log_lines(spark, progress))
+
+
+def _broken(logs: DataFrame) -> DataFrame:
+    return logs.where("_broken").select(SYMBOL, "_folder").distinct()
 
 
 def offsets(spark: SparkSession, progress: str) -> DataFrame:
@@ -82,12 +86,14 @@ def load_company_pages(
 
     Files are read in slices of companies' files. Rows are staged before the progress is logged: a run
     that was killed in between stages a slice again, and publishing drops the copies. Names of new files
-    pass through the driver, as Spark's own listing does.
+    pass through the driver, as Spark's own listing does. The logs are read once, each being a small file.
     """
-    restarted = broken_companies(spark, progress).collect()
+    logs = materialise(_log_lines(spark, progress), "logs")
+    broken = _broken(logs)
+    restarted = broken.collect()
     for row in restarted:
         delete_folder(spark, plain_path(row["_folder"]))
-    logged = _log_lines(spark, progress).select(*_VERSION)
+    logged = logs.join(broken, "_folder", "left_anti").select(*_VERSION)
     new = materialise(
         page_files(spark, landing, symbol_pattern).join(logged, _VERSION, "left_anti"), "new_pages"
     )
@@ -113,7 +119,7 @@ def _load_slice(
         SYMBOL,
         F.to_json(F.struct(*_VERSION, F.coalesce("rows", F.lit(0)).alias("rows"))).alias("value"),
     )
-    entries.repartition(SYMBOL).write.mode("append").partitionBy(SYMBOL).text(progress)
+    folder_writer(entries, SYMBOL).mode("append").text(progress)
 
 
 def staged_rows(spark: SparkSession, staged: str) -> DataFrame:
