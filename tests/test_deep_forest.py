@@ -47,6 +47,22 @@ def test_trees_grow_until_rows_are_told_apart():
     assert ((deep_forest.shares(deep_forest.grow(wide, label[:20], np.ones(20), 1, rng), wide) > 0.5) == label[:20]).all()
 
 
+def test_sums_from_a_table_and_by_sorting_agree():
+    rng = np.random.default_rng(6)
+    node, value = rng.integers(0, 2, 600), rng.integers(0, 200, 600).astype(np.uint8)
+    weight = rng.integers(1, 5, 600).astype(float)
+    ones = weight * rng.integers(0, 2, 600)
+    table, by_sort = (deep_forest._sums(node, value, weight, ones, nodes) for nodes in (2, 3))
+    assert all((a == b).all() for a, b in zip(table, by_sort, strict=True))
+    assert table[2].sum() == weight.sum() and table[3].sum() == ones.sum()
+
+
+def test_trees_are_grown_by_several_tasks(spark, rows):
+    forest = deep_forest.train_deep_forest(rows.limit(50), ["open", "close"], "target", 12, 42)
+    assert forest.subtrees.count() == 12
+    assert len(forest.subtrees.inputFiles()) > 1
+
+
 @pytest.fixture(scope="module")
 def rows(spark):
     x, y = F.rand(1), F.rand(2)

@@ -69,6 +69,22 @@ def _binned(model: PipelineModel, rows: DataFrame, names: list[str], cuts: list[
     return found.withColumn("_bins", bins("_x")).drop("_x")
 
 
+def _sums(node: np.ndarray, value: np.ndarray, weight: np.ndarray, ones: np.ndarray, nodes: int):
+    """The different (node, value), ascending, with the sums of both amounts: from a table of all of
+    them where it is no larger than the rows, else by sorting. Weights are whole numbers above 0, so
+    the order of adding does not matter."""
+    key = node * 256 + value
+    if nodes * 256 <= len(key):
+        table = np.bincount(key, weight, nodes * 256)
+        found = np.flatnonzero(table)
+        return found >> 8, found & 255, table[found], np.bincount(key, ones, nodes * 256)[found]
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    found = key[first]
+    return found >> 8, found & 255, np.add.reduceat(weight[order], first), np.add.reduceat(ones[order], first)
+
+
 def grow(bins: np.ndarray, label: np.ndarray, weight: np.ndarray, tries: int, rng: np.random.Generator):
     """Arrays ``feature, cut, left, share`` of the nodes of a tree over rows of bins, labels (0 or 1)
     and weights, grown until leaves are of one label or of equal rows.
@@ -80,10 +96,11 @@ def grow(bins: np.ndarray, label: np.ndarray, weight: np.ndarray, tries: int, rn
     size, features = bins.shape
     feature, cut, left, share = [], [], [], []
     rows, node = np.arange(size), np.zeros(size, np.int64)
+    weighted_label = weight * label
     nodes, first = 1, 0  # of this level; number of its first node
     while nodes:
         total = np.bincount(node, weight[rows], nodes)
-        ones = np.bincount(node, weight[rows] * label[rows], nodes)
+        ones = np.bincount(node, weighted_label[rows], nodes)
         level_feature = np.full(nodes, -1, np.int8)
         level_cut = np.zeros(nodes, np.uint8)
         open_nodes = (ones > 0) & (ones < total)
@@ -96,16 +113,15 @@ def grow(bins: np.ndarray, label: np.ndarray, weight: np.ndarray, tries: int, rn
             if not inside.any():
                 break
             part, at = rows[inside], node[inside]
-            value = bins[part, drawn[at, turn]]
-            order = np.argsort(at * 256 + value, kind="stable")
-            part, at, value = part[order], at[order], value[order]
-            before = np.cumsum(weight[part])
-            before_ones = np.cumsum(weight[part] * label[part])
+            at, value, amount, amount_ones = _sums(
+                at, bins[part, drawn[at, turn]], weight[part], weighted_label[part], nodes
+            )
+            before, before_ones = np.cumsum(amount), np.cumsum(amount_ones)
             start = np.flatnonzero(np.diff(at, prepend=-1))
             group = np.cumsum(np.diff(at, prepend=-1) != 0) - 1
-            w = before - (before[start] - weight[part][start])[group]
-            one = before_ones - (before_ones[start] - (weight[part] * label[part])[start])[group]
-            edge = np.flatnonzero((at[1:] == at[:-1]) & (value[1:] != value[:-1]))
+            w = before - (before[start] - amount[start])[group]
+            one = before_ones - (before_ones[start] - amount_ones[start])[group]
+            edge = np.flatnonzero(at[1:] == at[:-1])
             if not len(edge):
                 continue
             w, one, here = w[edge], one[edge], at[edge]
@@ -225,9 +241,11 @@ def train_deep_forest(
         .withColumn("weight", weight)
         .where("weight > 0")
     )
+    # Given, not left to the size of the rows: the cost lies in growing, not in their bytes.
+    tasks = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     subtrees = (
         drawn.select("tree", "leaf", "_label", "weight", "_bins")
-        .repartition("tree", "leaf")
+        .repartition(tasks, "tree", "leaf")
         .sortWithinPartitions("tree", "leaf")
         .mapInArrow(_grown(max(1, round(math.sqrt(len(names)))), seed), f"tree int, leaf int, {_SUBTREE}")
     )
@@ -252,28 +270,23 @@ def _shares_of_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     """``_row, share`` of rows that come after the subtree of their leaf."""
     subtree = key = None
     for batch in batches:
-        columns = [column.to_pylist() for column in batch.columns]
-        found: list[tuple[list[int], np.ndarray]] = []
-        waiting: list[int] = []
-
-        def score() -> None:
-            if waiting:
-                place = [columns[2][n] for n in waiting]
-                found.append((place, shares(subtree, _matrix([columns[3][n] for n in waiting]))))
-                waiting.clear()
-
-        for n, (tree, leaf, row) in enumerate(zip(*columns[:3], strict=True)):
-            if row is None:
-                score()
-                key, subtree = (tree, leaf), _unpacked(tuple(column[n] for column in columns[4:]))
-            elif key == (tree, leaf):
-                waiting.append(n)
-        score()
+        trees, leaves = (batch.column(n).to_numpy() for n in (0, 1))
+        heads = np.flatnonzero(batch.column(2).is_null().to_numpy(zero_copy_only=False)).tolist()
+        places, found = [np.zeros(0, np.int64)], [np.zeros(0)]
+        for low, high in zip([-1, *heads], [*heads, len(trees)], strict=True):
+            if low >= 0:
+                key = (trees[low], leaves[low])
+                subtree = _unpacked(tuple(batch.column(n)[low].as_py() for n in range(4, 8)))
+            low += 1
+            if key is None or low == high:
+                continue
+            own = (trees[low:high] == key[0]) & (leaves[low:high] == key[1])
+            if own.any():
+                bins = _matrix(batch.column(3).slice(low, high - low).to_pylist())
+                places.append(batch.column(2).slice(low, high - low).to_numpy()[own])
+                found.append(shares(subtree, bins[own]))
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([row for place, _ in found for row in place], pa.int64()),
-                pa.array(np.concatenate([np.zeros(0), *[share for _, share in found]]), pa.float64()),
-            ],
+            [pa.array(np.concatenate(places), pa.int64()), pa.array(np.concatenate(found), pa.float64())],
             ["_row", "share"],
         )
 
