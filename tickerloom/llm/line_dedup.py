@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tickerloom.session import materialise
 
-from .components import BITMAP_BITS, bitmap_of, connected_components, is_set
+from .components import BITMAP_BITS, bitmap_of, connected_components
 
 SIMILARITY = 0.8
 SHINGLE = 8  # bytes
@@ -26,6 +26,8 @@ BLOCK_LINES, BLOCK_BYTES = 512, 1 << 20  # of a block of a bucket; two blocks ar
 _BINS = BANDS * ROWS
 _CHUNK = 1 << 18  # bytes hashed at once
 _SLICE = 256  # texts held as lines at once
+_TOGETHER = 1 << 15  # bytes of small groups of lines compared at once
+_CANDIDATES = 1 << 18  # pairs of a line and a shingle's other line, expanded at once
 _KNOWN = 200_000  # digests a task remembers, for speed only: a line met again has its bands again
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -38,10 +40,26 @@ def normalised(line: str) -> bytes:
     return " ".join(line.lower().split()).encode()
 
 
+def normalised_lines(text: str | None) -> list[bytes]:
+    """:func:`normalised` of each line. In most texts a blank is all white space there is, and single
+    inside lines, so only the case changes; such a text is cut as a whole."""
+    if not text:
+        return []
+    text = text.lower()
+    # Of all white space only the blank is printable.
+    single = text.replace("\n", "").isprintable() and not any(x in text for x in ("  ", " \n", "\n "))
+    if single and text[0] != " " and text[-1] != " ":
+        return text.encode().split(b"\n")
+    return [" ".join(line.split()).encode() for line in text.split("\n")]
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
-    values = (values ^ (values >> np.uint64(30))) * _MIX
-    values = (values ^ (values >> np.uint64(27))) * _MIX2
-    return values ^ (values >> np.uint64(31))
+    values = values ^ (values >> np.uint64(30))
+    values *= _MIX
+    values ^= values >> np.uint64(27)
+    values *= _MIX2
+    values ^= values >> np.uint64(31)
+    return values
 
 
 def shingles(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -61,12 +79,20 @@ def shingles(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def band_hashes(lines: list[bytes]) -> np.ndarray:
     """``BANDS`` hashes a line. Each shingle's hash falls into one bin and competes for its least
     value there; an empty bin takes the value of the next full one, moved by the distance."""
-    values, owner = shingles(lines)
-    hashes = mixed(values * _GOLDEN)
-    bins = ((hashes >> np.uint64(40)) * np.uint64(_BINS) >> np.uint64(24)).astype(np.int64)
+    padded = [line if len(line) >= SHINGLE else line.ljust(SHINGLE, b"\0") for line in lines]
+    length = np.fromiter(map(len, padded), np.int64, len(padded))
+    data = b"".join(padded)
+    hashes = mixed(np.ndarray((len(data) - SHINGLE + 1,), "<u8", data, 0, (1,)) * _GOLDEN)
     empty = np.uint64(0xFFFFFFFFFFFFFFFF)
+    # Eight bytes that reach into the next line are no shingle.
+    hashes[(np.cumsum(length)[:-1, None] - np.arange(1, SHINGLE)).ravel()] = empty
+    bins = hashes >> np.uint64(40)
+    bins *= np.uint64(_BINS)
+    bins >>= np.uint64(24)
+    place = bins.view(np.int64)
+    place += np.repeat(np.arange(len(lines)) * _BINS, length)[: len(hashes)]
     least = np.full(len(lines) * _BINS, empty)
-    np.minimum.at(least, owner * _BINS + bins, hashes)
+    np.minimum.at(least, place, hashes)
     signature = least.reshape(len(lines), _BINS)
     holes = signature == empty
     if holes.any():
@@ -102,22 +128,16 @@ def jaccard(a: bytes, b: bytes) -> float:
     return overlap(shingle_set(a), shingle_set(b))
 
 
-def _lines(text: str | None) -> list[tuple[int, bytes]]:
-    """(number, normalised line) of the lines that are not blank."""
-    found = []
-    for number, line in enumerate((text or "").split("\n")):
-        value = normalised(line)
-        if value:
-            found.append((number, value))
-    return found
-
-
 def _digest(line: bytes) -> bytes:
     return xxhash.xxh3_128_digest(line)
 
 
-def _short(digest: bytes) -> int:
-    return int.from_bytes(digest[:8], "little", signed=True)
+def _columns(digests: list[bytes]) -> tuple[np.ndarray, pa.Array]:
+    """The first 8 bytes of each digest as a number, and the digests."""
+    joined = b"".join(digests)
+    ends = np.arange(0, len(joined) + 1, 16, dtype=np.int32)
+    column = pa.Array.from_buffers(pa.binary(), len(digests), [None, pa.py_buffer(ends), pa.py_buffer(joined)])
+    return np.frombuffer(joined, "<i8")[::2], column
 
 
 def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,28 +153,34 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in _sliced(batches):
         if len(known) > _KNOWN:
             known.clear()
-        doc_ids, numbers, digests, fresh, values = [], [], [], [], []
+        rows, numbers, digests, fresh, values = [], [], [], [], []
         seen: dict[bytes, bytes] = {}
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            for number, line in _lines(text):
+        for row, text in enumerate(batch.column(1).to_pylist()):
+            for number, line in enumerate(normalised_lines(text)):
+                if not line:
+                    continue
                 digest = seen.get(line)
                 if digest is None:
                     digest = seen[line] = _digest(line)
-                fresh.append(digest not in known)
-                if fresh[-1]:
-                    known.add(digest)
-                    values.append(line)
-                doc_ids.append(doc_id)
+                    new = digest not in known
+                    if new:
+                        known.add(digest)
+                        values.append(line)
+                else:
+                    new = False
+                fresh.append(new)
+                rows.append(row)
                 numbers.append(number)
                 digests.append(digest)
         bands = _in_chunks(values)
         offsets = np.concatenate([[0], np.cumsum(np.where(fresh, BANDS, 0))]) if fresh else np.zeros(1)
+        short, column = _columns(digests)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(doc_ids, batch.schema.field(0).type),
+                batch.column(0).take(pa.array(rows, pa.int32())),
                 pa.array(numbers, pa.int32()),
-                pa.array(digests, pa.binary()),
-                pa.array(list(map(_short, digests)), pa.int64()),
+                column,
+                pa.array(short, pa.int64()),
                 pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(bands.ravel(), pa.int64())),
             ],
             ["doc_id", "line", "digest", "short", "bands"],
@@ -203,19 +229,21 @@ def _values(rows: DataFrame, bitmap: bytes) -> DataFrame:
     sent = rows.sparkSession.sparkContext.broadcast(bitmap)
 
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(sent.value, np.uint8)
         for batch in _sliced(batches):
-            lines = {line for text in batch.column(0).to_pylist() for _, line in _lines(text)}
-            found = []
-            for line in lines:
-                digest = _digest(line)
-                short = _short(digest)
-                if is_set(sent.value, short % BITMAP_BITS):
-                    found.append((short, digest, line))
+            different: set[bytes] = set()
+            for text in batch.column(0).to_pylist():
+                different.update(normalised_lines(text))
+            different.discard(b"")
+            lines = list(different)
+            short, digests = _columns(list(map(_digest, lines)))
+            place = short % BITMAP_BITS
+            chosen = np.flatnonzero(bits[place >> 3] >> (place & 7).astype(np.uint8) & 1)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([row[0] for row in found], pa.int64()),
-                    pa.array([row[1] for row in found], pa.binary()),
-                    pa.array([row[2] for row in found], pa.binary()),
+                    pa.array(short[chosen], pa.int64()),
+                    digests.take(pa.array(chosen, pa.int64())),
+                    pa.array([lines[n] for n in chosen.tolist()], pa.binary()),
                 ],
                 ["short", "digest", "value"],
             )
@@ -255,71 +283,101 @@ def _candidates(buckets: DataFrame) -> DataFrame:
     )
 
 
-def _joined(members: list[tuple], similarity: float) -> list[tuple[bytes, bytes]]:
-    """Pairs of roots that similar lines join; ``members`` are (block, root, line) of two blocks, of
-    which pairs across are compared, or of one.
+def _joined(groups: list[list[tuple]], similarity: float) -> list[tuple[bytes, bytes]]:
+    """Pairs of roots that similar lines of one group join; a group's members are (block, root, line)
+    of two blocks, of which pairs across are compared, or of one.
 
-    Shingles are ordered by how many lines have them, rarest first. Of two similar lines the longer
-    one's first shingles and the shorter one's hold a common one, so only those are looked up.
+    Shingles are ordered by how often they occur, rarest first. Of two similar lines the longer one's
+    first shingles and the shorter one's hold a common one, so only those are looked up. Groups are
+    mostly small, so the lines of all groups are prepared together.
     """
-    sets = [shingle_set(line) for _, _, line in members]
-    order = sorted(range(len(sets)), key=lambda n: len(sets[n]))
-    sets = [sets[n] for n in order]
-    size = np.array([len(one) for one in sets])
-    block = np.array([members[n][0] for n in order])
-    across = block.min() != block.max()
-    names = sorted({members[n][1] for n in order})
-    number = {name: n for n, name in enumerate(names)}
-    component = np.array([number[members[n][1]] for n in order])
-    column, amount = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)[1:]
+    members = [member for group in groups for member in group]
+    if not members:
+        return []
+    amounts = np.array([len(group) for group in groups])
+    group = np.repeat(np.arange(len(groups)), amounts)
+    opening = np.cumsum(amounts) - amounts  # the first line of each group
+    block = np.array([member[0] for member in members])
+    across = (np.minimum.reduceat(block, opening) != np.maximum.reduceat(block, opening))[group]
+    values, owner = shingles([member[2] for member in members])
+    column, amount = np.unique(values, return_inverse=True, return_counts=True)[1:]
     rank = np.empty(len(amount), np.int64)
     rank[np.argsort(amount, kind="stable")] = np.arange(len(amount))
+    single = int(np.count_nonzero(amount == 1))  # lines share no shingle of a rank below
+    ranked = np.sort(owner * len(rank) + rank[column])
+    ranked = ranked[np.append(True, ranked[1:] != ranked[:-1])]
+    owner = ranked // len(rank)
+    ranked -= owner * len(rank)
+    size = np.bincount(owner, minlength=len(members))
+    # Within a group the shorter lines come first.
+    order = np.lexsort((size, group))
+    number = np.empty(len(order), np.int64)
+    number[order] = np.arange(len(order))
+    ranked = np.sort(number[owner] * len(rank) + ranked)
+    size, block = size[order], block[order]
+    owner = np.repeat(np.arange(len(size)), size)
+    ranked -= owner * len(rank)
+    roots = [(g, members[n][1]) for g, n in zip(group.tolist(), order.tolist(), strict=True)]
+    names = sorted(set(roots))
+    named = {name: n for n, name in enumerate(names)}
+    component = np.array([named[root] for root in roots])
     ends = np.cumsum(size)
-    owner = np.repeat(np.arange(len(sets)), size)
-    ranked = rank[column]
-    ranked = ranked[np.lexsort((ranked, owner))]
-    place = np.arange(len(ranked)) - np.repeat(ends - size, size)
+    place = np.arange(len(ranked)) - (ends - size)[owner]
     # A line shares this much at least with a line as long or longer, or with a shorter one.
     longer = np.ceil(2 * similarity / (1 + similarity) * size - 1e-6).astype(np.int64)
     shorter = np.ceil(similarity * size - 1e-6).astype(np.int64)
-    listed = place <= (size - longer)[owner]
-    by_rank = np.argsort(ranked[listed], kind="stable")  # lines ascend within a shingle
-    index_rank, index_line = ranked[listed][by_rank], owner[listed][by_rank]
-    marked = np.zeros(len(amount), bool)
-    found = []
-    for line in range(1, len(sets)):
-        start = ends[line] - size[line]
-        wanted = ranked[start : start + size[line] - shorter[line] + 1]
-        lows, highs = np.searchsorted(index_rank, wanted), np.searchsorted(index_rank, wanted, "right")
-        parts = [index_line[low:high] for low, high in zip(lows, highs, strict=True) if low < high]
-        if not parts:
-            continue
-        near = np.unique(np.concatenate(parts))
-        near = near[(near < line) & (size[near] >= similarity * size[line] - 1e-6) & (component[near] != component[line])]
-        if across:
-            near = near[block[near] != block[line]]
-        if not len(near):
-            continue
-        own = ranked[start : ends[line]]
-        marked[own] = True
-        for other in near.tolist():
-            if component[other] == component[line]:
+    listed = (place <= (size - longer)[owner]) & (ranked >= single)
+    index = np.sort(ranked[listed] * len(size) + owner[listed])  # lines ascend within a shingle
+    wanted = (place <= (size - shorter)[owner]) & (ranked >= single)
+    line, sought = owner[wanted], ranked[wanted] * len(size)
+    lows = np.searchsorted(index, sought + opening[group[line]])
+    many = np.searchsorted(index, sought + line) - lows
+    marked = np.zeros(len(rank), bool)
+    found: list[tuple[bytes, bytes]] = []
+    if not len(line):
+        return found
+    # Slices of whole lines, of so many candidates or of one line.
+    total = np.cumsum(many)
+    stops = np.flatnonzero(np.append(line[1:] != line[:-1], True)) + 1
+    start = 0
+    while start < len(line):
+        before = total[start - 1] if start else 0
+        stop = stops[min(np.searchsorted(total[stops - 1], before + _CANDIDATES, "right"), len(stops) - 1)]
+        if stop <= start:
+            stop = stops[np.searchsorted(stops, start, "right")]
+        some = many[start:stop]
+        at = np.arange(int(some.sum())) + np.repeat(lows[start:stop] - (np.cumsum(some) - some), some)
+        near = index[at] % len(size)
+        pairs = np.unique(np.repeat(line[start:stop], some) * len(size) + near)
+        one, near = pairs // len(size), pairs % len(size)
+        alike = (size[near] >= similarity * size[one] - 1e-6) & (component[near] != component[one])
+        alike &= ~across[one] | (block[near] != block[one])
+        last = -1
+        for this, other in zip(one[alike].tolist(), near[alike].tolist(), strict=True):
+            if component[other] == component[this]:
                 continue
+            if this != last:
+                if last >= 0:
+                    marked[own] = False
+                last, own = this, ranked[ends[this] - size[this] : ends[this]]
+                marked[own] = True
             both = int(np.count_nonzero(marked[ranked[ends[other] - size[other] : ends[other]]]))
-            if both / (size[other] + size[line] - both) >= similarity:
-                found.append((names[component[other]], names[component[line]]))
-                component[component == component[other]] = component[line]
-        marked[own] = False
+            if both / (size[other] + size[this] - both) >= similarity:
+                found.append((names[component[other]][1], names[component[this]][1]))
+                component[component == component[other]] = component[this]
+        if last >= 0:
+            marked[own] = False
+        start = stop
     return found
 
 
 def _joining(similarity: float):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Edges of groups that come one after the other."""
-        current, members = None, []
+        current, members, groups, size = None, [], [], 0
 
         def edges() -> pa.RecordBatch:
-            pairs = _joined(members, similarity) if len(members) > 1 else []
+            pairs = _joined(groups, similarity)
             return pa.RecordBatch.from_arrays(
                 [pa.array([pair[side] for pair in pairs], pa.binary()) for side in (0, 1)], ["a", "b"]
             )
@@ -327,11 +385,17 @@ def _joining(similarity: float):
         for batch in batches:
             for row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 if row[:3] != current:
-                    if members:
+                    if len(members) > 1:
+                        groups.append(members)
+                        size += sum(SHINGLE + len(member[2]) for member in members)
+                    if size >= _TOGETHER:
                         yield edges()
+                        groups, size = [], 0
                     current, members = row[:3], []
                 members.append(row[3:])
-        if members:
+        if len(members) > 1:
+            groups.append(members)
+        if groups:
             yield edges()
 
     return compare
