@@ -86,3 +86,44 @@ def test_deep_trees_learn_a_chess_board(spark, rows, tmp_path, leaf_rows, monkey
     leaves = loaded.subtrees.count()
     assert leaves == 15 if leaf_rows > 1500 else leaves > 15
     assert model.predict(loaded, rows.limit(0)).collect() == []
+
+
+def test_rows_are_drawn_by_the_hash_of_row_tree_and_seed(spark):
+    rows = [0, 1, 77, (1 << 33) + 5, -3]
+    for tree, seed in ((0, 42), (7, 42), (99, -1)):
+        ids = spark.createDataFrame([(row, tree, seed) for row in rows], "row bigint, tree int, seed int")
+        hashes = {row["row"]: row["h"] for row in ids.select("row", F.xxhash64("row", "tree", "seed").alias("h")).collect()}
+        found = deep_forest._hashed(deep_forest._hashed(deep_forest._row_hash(np.array(rows)), tree), seed)
+        assert found.view(np.int64).tolist() == [hashes[row] for row in rows]
+    weight = deep_forest.draws(deep_forest._row_hash(np.arange(200_000)), 3, 42)
+    assert abs(weight.mean() - 1) < 0.01 and abs((weight == 0).mean() - np.exp(-1)) < 0.01
+
+
+def test_the_cut_from_sums_is_the_first_cut_of_a_tree():
+    rng = np.random.default_rng(8)
+    for _ in range(30):
+        bins, label = rng.integers(0, 9, (60, 3)).astype(np.uint8), rng.integers(0, 2, 60)
+        weight = rng.integers(1, 4, 60)
+        sums = np.zeros((3, 256, 2))
+        for n in range(3):
+            np.add.at(sums[n], (bins[:, n], label), weight)
+        place, cut, sides = deep_forest.best_cut(sums)
+        best = min((split_by_hand(bins[:, n], label, weight)[0], n) for n in range(3))
+        assert split_by_hand(bins[:, place], label, weight) == (pytest.approx(best[0]), cut)
+        here = bins[:, place] <= cut
+        assert sides == [weight[here].sum(), (weight * label)[here].sum(), weight[~here].sum(), (weight * label)[~here].sum()]
+    assert deep_forest.best_cut(np.zeros((3, 256, 2)))[0] == -1
+
+
+def test_tops_are_split_until_no_leaf_holds_too_many_rows(spark, rows, monkeypatch):
+    monkeypatch.setattr(deep_forest, "NODES_A_PASS", 2)  # others wait for a later pass
+    constant = rows.select(F.lit(1.0).alias("a"), F.lit(2.0).alias("b"), F.lit(3.0).alias("c"), "open", "target")
+    forest = deep_forest.train_deep_forest(constant, ["a", "b", "c", "open"], "target", 3, 42, 200)
+    assert all(len(top[0]) > 1 for top in forest.tops)  # also where the first features drawn are constant
+    assert {feature for top in forest.tops for feature in top[0].tolist()} == {-1, 3}
+    leaves = {(row["tree"], row["leaf"]) for row in forest.subtrees.collect()}
+    assert leaves == {(tree, int(leaf)) for tree, top in enumerate(forest.tops) for leaf in np.flatnonzero(top[0] < 0)}
+    bins = np.zeros((1500, 4), np.uint8)
+    bins[:, 3] = np.searchsorted(np.array(forest.cuts[3]), np.array([row["open"] for row in rows.collect()]))
+    for top in forest.tops:
+        assert np.bincount(deep_forest._leaf(top, bins)).max() < 2 * 200 * 1.3  # draws vary about the rows
