@@ -231,3 +231,29 @@ def test_one_number_rule_for_all_lines(spark, folder):
     scan = company_files.scan_company_files(spark, place)
     assert [r["published_date"] for r in scan.rows().collect()] == ["2024-01-06"]
     assert [r["reason"] for r in scan.quarantine().collect()] == ["not a number"] * 4
+
+
+def test_files_are_listed_once_and_read_by_few_tasks(spark, tmp_path):
+    for n in range(1200):
+        (tmp_path / f"S{n} {n % 3}.csv").write_text(f"{HEADER}\n{LINE}\n" if n % 10 else "")
+    context, before = spark.sparkContext, spark.conf.get("spark.sql.files.openCostInBytes")
+    context.setJobGroup("small files", "")
+    try:
+        listed = company_files.list_files(spark, str(tmp_path)).collect()
+        rows = company_files.scan_company_files(spark, str(tmp_path)).rows().count()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert rows == 1080 and spark.conf.get("spark.sql.files.openCostInBytes") == before
+    assert len({row["path"] for row in listed}) == len(listed) == 1200
+    assert sum(row["length"] == 0 and row["modified"] is None for row in listed) == 120
+    assert all(row["modified"] is not None for row in listed if row["length"])
+    # A file counted as 4 MB, so that a task read 32.
+    tracker = context.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup("small files") for s in tracker.getJobInfo(job).stageIds]
+    assert max(tracker.getStageInfo(stage).numTasks for stage in stages) <= 32
+
+
+def test_sizes_of_settings():
+    from tickerloom.session import _bytes
+
+    assert [_bytes(text) for text in ("4194304", "4MB", "64k", "1g", " 7 b")] == [4194304, 4 << 20, 64 << 10, 1 << 30, 7]

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..folders import write_folders
 from ..functions import flatten_once
 from ..operators import (
     clean,
@@ -21,7 +22,7 @@ from ..operators import (
     split,
 )
 from ..schema import DATE, SYMBOL, TARGET
-from ..session import create_empty_file, folder_writer, fresh_path, materialise, store
+from ..session import create_empty_file, fresh_path, materialise, store
 from ..sources import pages, tables
 from ..sources.company_files import refresh_company_files, scan_company_files
 from ..streaming import company_load, daily_append, page_load
@@ -399,7 +400,7 @@ def _write_company_files(spark, folder, path: str | None = None, part: Column |
     turned = [SYMBOL, *[F.col(name).alias(f" {titled[name]}.") for name in reversed(titled)]]
     for part in (rows.where(~second_form), rows.where(second_form).select(*turned)):
         # One file per symbol; a symbol has at most two rows a day.
-        folder_writer(part, SYMBOL).mode("append").csv(path, header=True)
+        write_folders(part, SYMBOL, path, "csv")
     return path
 
 
@@ -422,7 +423,7 @@ def scan_undated_files(spark, folder):
     rows = event_panel.raw(spark, folder)
     undated = F.substring(SYMBOL, 2, 20).cast("bigint") % 3 == 1
     for part in (rows.where(~undated), rows.where(undated).drop(DATE)):
-        folder_writer(part, SYMBOL).mode("append").csv(path, header=True)
+        write_folders(part, SYMBOL, path, "csv")
     found = _usable_rows(scan_company_files(spark, path, symbol_pattern=_SYMBOL_FOLDER, nested=True))
     return found.transform(ordering.with_position)
 
@@ -437,16 +438,12 @@ def incremental_scan(spark, folder):
     scan = lambda: refresh_company_files(
         spark, path, kept, symbol_pattern=_SYMBOL_FOLDER, nested=True
     )
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        _write_company_files(spark, folder, path, replaced & early)
-        scan()
-        _write_company_files(spark, folder, path, ~replaced)
-        scan()
-        rows = event_panel.raw(spark, folder).where(replaced)
-        folder_writer(rows, SYMBOL).mode("overwrite").csv(path, header=True)
-    finally:
-        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    _write_company_files(spark, folder, path, replaced & early)
+    scan()
+    _write_company_files(spark, folder, path, ~replaced)
+    scan()
+    rows = event_panel.raw(spark, folder).where(replaced)
+    write_folders(rows, SYMBOL, path, "csv", replace=True)
     return _usable_rows(scan())
 
 
@@ -557,10 +554,10 @@ def restart_one_company(spark, folder):
     deliveries = (answers, answers.where(number % 5 == 2))
     restarted: list[str] = []
     for delivery in deliveries:
-        folder_writer(delivery, SYMBOL).mode("append").json(landing)
+        write_folders(delivery, SYMBOL, landing, "json")
         restarted = company_load.load_company_pages(spark, landing, staged, progress, pattern)
         spoilt = answers.where(number % 10 == 3).select(SYMBOL, F.lit('{"path": "cut sho').alias("value"))
-        folder_writer(spoilt.distinct(), SYMBOL).mode("append").text(progress)
+        write_folders(spoilt.distinct(), SYMBOL, progress, "text")
     again = spark.createDataFrame([(symbol, True) for symbol in restarted], "symbol string, restarted boolean")
     counts = company_load.staged_rows(spark, staged).groupBy(SYMBOL).agg(F.count(F.lit(1)).alias("staged"))
     return counts.join(again, SYMBOL, "left").withColumn("restarted", F.coalesce("restarted", F.lit(False)))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Iterable, Iterator
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
@@ -67,31 +68,38 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 _LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+_OPEN_COST = "spark.sql.files.openCostInBytes"
 
 
 @contextmanager
-def few_listing_tasks(spark: SparkSession) -> Iterator[None]:
-    """Within it, readers list many folders or files with some tasks a core. By default Spark gives
-    each of them, up to 10,000, a task of its own."""
-    before = spark.conf.get(_LISTING_TASKS, None)
-    some = max(32, 4 * spark.sparkContext.defaultParallelism)
-    spark.conf.set(_LISTING_TASKS, str(min(some, int(before or some))))
+def _at_most(spark: SparkSession, setting: str, value: int) -> Iterator[None]:
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, str(value if before is None else min(value, _bytes(before))))
     try:
         yield
     finally:
         if before is None:
-            spark.conf.unset(_LISTING_TASKS)
+            spark.conf.unset(setting)
         else:
-            spark.conf.set(_LISTING_TASKS, before)
+            spark.conf.set(setting, before)
+
+
+def _bytes(text: str) -> int:
+    """A number, or a size with a unit, as Spark's settings have it."""
+    number, unit = re.fullmatch(r"\s*(\d+)\s*([kmgtp]?)b?\s*", text.lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
+def few_listing_tasks(spark: SparkSession) -> AbstractContextManager[None]:
+    """Within it, readers list many folders or files with some tasks a core. By default Spark gives
+    each of them, up to 10,000, a task of its own."""
+    return _at_most(spark, _LISTING_TASKS, max(32, 4 * spark.sparkContext.defaultParallelism))
 
 
-def folder_writer(df: DataFrame, column: str) -> DataFrameWriter:
-    """Writer of a folder for each value of ``column``, with one file in it. The cost lies in the files
-    and not in their bytes, so the number of tasks is given and not left to their size, and tasks
-    move their files into place themselves, not the driver one folder after the other."""
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    writer = df.repartition(tasks, column).write.partitionBy(column)
-    return writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+def few_reading_tasks(spark: SparkSession) -> AbstractContextManager[None]:
+    """Within it, jobs read up to 128 small files a task. By default a file counts as 4 MB besides its
+    bytes, so a task reads 32, and starting the tasks takes longer than reading."""
+    return _at_most(spark, _OPEN_COST, 1 << 20)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -115,6 +123,15 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def delete_folders(spark: SparkSession, paths: Iterable[str]) -> None:
+    """As :func:`delete_folder` for many folders of one file system."""
+    system, jvm_path, settings = None, spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        target = jvm_path(path)
+        system = system or target.getFileSystem(settings)
+        system.delete(target, True)
+
+
 def create_empty_file(spark: SparkSession, path: str) -> None:
     """A file without a byte, on whichever file system the path names."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

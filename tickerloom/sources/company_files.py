@@ -23,7 +23,7 @@ from ..functions import (
     split_csv_line,
 )
 from ..schema import DATE, NUMERIC_FIELDS, PAGE_FIELDS, RAW_SCHEMA, SYMBOL
-from ..session import few_listing_tasks, is_absent, materialise, read_or_empty
+from ..session import few_listing_tasks, few_reading_tasks, is_absent, materialise, read_or_empty
 
 # The symbol is the file name without its ending.
 FILE_STEM = r"([^/]+)\.csv$"
@@ -75,7 +75,7 @@ class CompanyFiles:
 def list_files(
     spark: SparkSession, folder: str, nested: bool = False, pattern: str = "*.csv"
 ) -> DataFrame:
-    """Path, length and time of change of the files of a folder; an absent folder has none.
+    """Path, length and time of change of the files of a folder, stored; an absent folder has none.
 
     Spark reads no file without a byte and leaves it out of its rows, not out of its list of names:
     such a file has length 0 and no time."""
@@ -95,12 +95,13 @@ def list_files(
         F.col("_metadata.file_path").alias("path"), "length", F.col("modificationTime").alias("modified")
     )
     # The list and the rows differ in the slashes after the scheme.
-    key = F.regexp_replace("path", r"^([\w.+-]+):/+", "$1:///").alias("path")
+    key = F.regexp_replace("path", r"^([\w.+-]+):/+", "$1:///").alias("_key")
     listed = spark.createDataFrame(pa.table({"path": pa.array(_input_files(files), pa.string())})).select(key)
-    empty = listed.join(found.select(key), "path", "left_anti").select(
-        "path", F.lit(0).cast("bigint").alias("length"), F.lit(None).cast("timestamp").alias("modified")
+    every = listed.join(found.select("*", key), "_key", "left").select(
+        F.coalesce("path", "_key").alias("path"), F.coalesce("length", F.lit(0).cast("bigint")).alias("length"), "modified"
     )
-    return found.unionByName(empty)
+    with few_reading_tasks(spark):
+        return materialise(every, "listing")
 
 
 def _input_files(files: DataFrame) -> list[str]:
@@ -131,7 +132,8 @@ def _lines(spark: SparkSession, source: str | list[str], nested: bool) -> DataFr
         (F.col("_metadata.file_block_start") == 0).alias("_first"),
         F.monotonically_increasing_id().alias("_at"),
     )
-    return materialise(lines.where(F.trim("_line") != ""), "lines")
+    with few_reading_tasks(spark):
+        return materialise(lines.where(F.trim("_line") != ""), "lines")
 
 
 def symbol_from_path(path: Column, pattern: str = FILE_STEM) -> Column:
@@ -269,7 +271,7 @@ def refresh_company_files(
     changed or gone stay stored but no longer show. Settings must stay the same between runs. Names of new
     files pass through the driver, as Spark's own listing does.
     """
-    listing = materialise(list_files(spark, folder, nested).where("length > 0"), "listing")
+    listing = list_files(spark, folder, nested).where("length > 0")
     manifest = read_or_empty(spark, f"{kept}/manifest", _MANIFEST)
     new = materialise(listing.join(manifest, _VERSION, "left_anti"), "new_files")
     paths = [row["path"] for row in new.select("path").collect()]

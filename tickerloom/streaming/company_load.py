@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..folders import write_folders
 from ..schema import SYMBOL
-from ..session import delete_folder, few_listing_tasks, folder_writer, is_absent, materialise, read_or_empty
+from ..session import delete_folders, few_listing_tasks, few_reading_tasks, is_absent, materialise, read_or_empty
 from ..sources.company_files import list_files, plain_path, symbol_from_path
 from ..sources.pages import JSON_STEM, PARSED_SCHEMA, parse_pages, read_pages
 
@@ -88,11 +89,11 @@ def load_company_pages(
     that was killed in between stages a slice again, and publishing drops the copies. Names of new files
     pass through the driver, as Spark's own listing does. The logs are read once, each being a small file.
     """
-    logs = materialise(_log_lines(spark, progress), "logs")
+    with few_reading_tasks(spark):
+        logs = materialise(_log_lines(spark, progress), "logs")
     broken = _broken(logs)
     restarted = broken.collect()
-    for row in restarted:
-        delete_folder(spark, plain_path(row["_folder"]))
+    delete_folders(spark, [plain_path(row["_folder"]) for row in restarted])
     logged = logs.join(broken, "_folder", "left_anti").select(*_VERSION)
     new = materialise(
         page_files(spark, landing, symbol_pattern).join(logged, _VERSION, "left_anti"), "new_pages"
@@ -108,7 +109,8 @@ def _load_slice(
 ) -> None:
     part = f"{staged}/slice={uuid.uuid4().hex}"
     pages = read_pages(spark, [plain_path(name) for name in names], symbol_pattern)
-    parse_pages(pages).write.parquet(part)
+    with few_reading_tasks(spark):
+        parse_pages(pages).write.parquet(part)
     counts = (
         spark.read.schema(PARSED_SCHEMA).parquet(part)
         .groupBy(F.col("_path").alias("path"))
@@ -119,7 +121,7 @@ def _load_slice(
         SYMBOL,
         F.to_json(F.struct(*_VERSION, F.coalesce("rows", F.lit(0)).alias("rows"))).alias("value"),
     )
-    folder_writer(entries, SYMBOL).mode("append").text(progress)
+    write_folders(entries, SYMBOL, progress, "text")
 
 
 def staged_rows(spark: SparkSession, staged: str) -> DataFrame:
