@@ -257,3 +257,9 @@ def test_sizes_of_settings():
     from tickerloom.session import _bytes
 
     assert [_bytes(text) for text in ("4194304", "4MB", "64k", "1g", " 7 b")] == [4194304, 4 << 20, 64 << 10, 1 << 30, 7]
+
+
+def test_numbers_of_pages_are_parsed_once(spark, tmp_path):
+    (tmp_path / "A.json").write_text(json.dumps({"data": [{"published_date": "2024-01-02", "close": "2.5"}]}) + "\n")
+    plan = pages.parse_pages(pages.read_pages(spark, str(tmp_path)))._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.count("RLIKE") <= 8  # numeric fields

@@ -91,23 +91,21 @@ def parse_pages(pages: DataFrame, thousands: str | None = None) -> DataFrame:
     types = {field.name: field.dataType for field in RAW_SCHEMA.fields}
     place = {name: (F.array_position("_names", name) - 1).cast("int") for name in PAGE_FIELDS}
     texts = {name: F.get("_cells", place[name])["value"] for name in PAGE_FIELDS}
-    found = rows.select("*", *[texts[name].alias(f"_text_{name}") for name in PAGE_FIELDS])
-    values = {
-        name: number_from_text(F.col(f"_text_{name}"), types[name], thousands)
-        for name in NUMERIC_FIELDS
-    }
+    kept = (SYMBOL, "_path", _CORRUPT, "_cells")
+    found = rows.select(*kept, *[texts[name].alias(f"_text_{name}") for name in PAGE_FIELDS])
+    values = [
+        number_from_text(F.col(f"_text_{name}"), types[name], thousands).alias(name) for name in NUMERIC_FIELDS
+    ]
+    # As in the scan of company files: a generator of one row per row, so that every number is parsed once.
+    read = found.select(F.inline(F.array(F.struct(*found.columns, *values))))
     not_number = reduce(
-        or_,
-        [
-            values[name].isNull() & ~is_missing_text(F.col(f"_text_{name}"))
-            for name in NUMERIC_FIELDS
-        ],
+        or_, [F.col(name).isNull() & ~is_missing_text(F.col(f"_text_{name}")) for name in NUMERIC_FIELDS]
     )
     reason = F.when(unreadable, "not a page").when(not_number, "not a number")
     date = F.col(f"_text_{DATE}")
-    return found.select(
+    return read.select(
         F.when(~is_missing_text(date), date).alias(DATE),
-        *[values[name].alias(name) for name in NUMERIC_FIELDS],
+        *NUMERIC_FIELDS,
         SYMBOL,
         "_path",
         F.when(reason.isNotNull(), F.coalesce(_CORRUPT, F.to_json("_cells"))).alias("_line"),
