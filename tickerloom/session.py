@@ -19,6 +19,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tickerloom")
         .config("spark.ui.enabled", "false")
+        # A status tracker forgets stages beyond these, skipped ones first.
+        .config("spark.ui.retainedStages", "100000")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
